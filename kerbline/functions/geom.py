@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-EMPTY = "CAST(array() AS array<struct<x:double,y:double>>)"
+_MEASURED = "array<struct<ax:double,ay:double,bx:double,by:double,m0:double,m1:double>>"
 
 
 def pt(x: Column, y: Column) -> Column:
@@ -54,14 +56,15 @@ def length(line: Column) -> Column:
 
 
 def measured(line: Column) -> Column:
-    """Vertex pairs with the line measure at each end (m0, m1)."""
-    pairs = F.transform(segs(line), lambda s: F.struct(*[s[c].alias(c) for c in ("ax", "ay", "bx", "by")],
-                                                       seg_len(s).alias("len")))
-    ends = F.transform(pairs, lambda s, i: F.aggregate(
-        F.slice(pairs, F.lit(1), i + 1), F.lit(0.0), lambda acc, q: acc + q["len"]))
-    return F.zip_with(pairs, ends, lambda s, m: F.struct(
-        *[s[c].alias(c) for c in ("ax", "ay", "bx", "by")],
-        (m - s["len"]).alias("m0"), m.alias("m1")))
+    """Vertex pairs with the line measure at each end (m0, m1), in one pass."""
+    zero = F.struct(F.lit(0.0).alias("m"), F.expr(f"CAST(array() AS {_MEASURED})").alias("out"))
+
+    def add(acc: Column, s: Column) -> Column:
+        end = acc["m"] + seg_len(s)
+        return F.struct(end.alias("m"), F.concat(acc["out"], F.array(F.struct(
+            *[s[c].alias(c) for c in ("ax", "ay", "bx", "by")], acc["m"].alias("m0"), end.alias("m1")))).alias("out"))
+
+    return F.aggregate(segs(line), zero, add, lambda acc: acc["out"])
 
 
 def clamp01(t: Column) -> Column:
@@ -80,43 +83,46 @@ def point_segment_dist(px, py, ax, ay, bx, by) -> Column:
     return dist(px, py, ax + t * (bx - ax), ay + t * (by - ay))
 
 
-def nearest(line: Column, px: Column, py: Column) -> Column:
-    """Nearest position on a line: struct(d, m, x, y, ax, ay, bx, by)."""
-    withp = F.transform(measured(line), lambda s: F.struct(
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once for ``body``, inside one expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def nearest(ms: Column, px: Column, py: Column) -> Column:
+    """Nearest position on a measured line: struct(d, m, x, y, ax, ay, bx, by)."""
+    withp = F.transform(ms, lambda s: F.struct(
         *[s[c].alias(c) for c in ("ax", "ay", "bx", "by", "m0", "m1")],
         param_on_segment(px, py, s["ax"], s["ay"], s["bx"], s["by"]).alias("t")))
-    hits = F.transform(withp, lambda s: F.struct(
-        dist(px, py, s["ax"] + s["t"] * (s["bx"] - s["ax"]), s["ay"] + s["t"] * (s["by"] - s["ay"])).alias("d"),
+    at = F.transform(withp, lambda s: F.struct(
         (s["m0"] + s["t"] * (s["m1"] - s["m0"])).alias("m"),
-        (s["ax"] + s["t"] * (s["bx"] - s["ax"])).alias("x"),
-        (s["ay"] + s["t"] * (s["by"] - s["ay"])).alias("y"),
+        (s["ax"] + s["t"] * (s["bx"] - s["ax"])).alias("x"), (s["ay"] + s["t"] * (s["by"] - s["ay"])).alias("y"),
         *[s[c].alias(c) for c in ("ax", "ay", "bx", "by")]))
-    return F.array_min(hits)
+    return F.array_min(F.transform(at, lambda s: F.struct(
+        dist(px, py, s["x"], s["y"]).alias("d"), *[s[c].alias(c) for c in ("m", "x", "y", "ax", "ay", "bx", "by")])))
 
 
-def interpolate(line: Column, m: Column) -> Column:
-    """Point at measure ``m``, clamped to the line."""
-    ms = measured(line)
-    hit = F.element_at(F.filter(ms, lambda s: s["m1"] >= m), 1)
-    at = F.when(m >= F.element_at(ms, -1)["m1"], last_pt(line)).otherwise(pt(
-        hit["ax"] + (hit["bx"] - hit["ax"]) * F.greatest(m, F.lit(0.0)) .__sub__(hit["m0"]) / F.nullif(hit["m1"] - hit["m0"], F.lit(0.0)),
-        hit["ay"] + (hit["by"] - hit["ay"]) * F.greatest(m, F.lit(0.0)).__sub__(hit["m0"]) / F.nullif(hit["m1"] - hit["m0"], F.lit(0.0))))
-    return at
+def _along(s: Column, m: Column) -> Column:
+    f = (m - s["m0"]) / F.nullif(s["m1"] - s["m0"], F.lit(0.0))
+    return pt(s["ax"] + F.coalesce(f, F.lit(0.0)) * (s["bx"] - s["ax"]), s["ay"] + F.coalesce(f, F.lit(0.0)) * (s["by"] - s["ay"]))
 
 
-def substring(line: Column, a: Column, b: Column) -> Column:
-    """Part of a line between two measures; null when it would be a single point."""
-    inner = F.transform(F.filter(measured(line), lambda s: (s["m1"] > a) & (s["m1"] < b)),
-                        lambda s: pt(s["bx"], s["by"]))
-    out = F.concat(F.array(interpolate(line, a)), inner, F.array(interpolate(line, b)))
-    return F.when(b > a, out)
+def interpolate(ms: Column, m: Column) -> Column:
+    """Point at measure ``m`` of a measured line, clamped to its ends."""
+    m = F.greatest(m, F.lit(0.0))
+    inside = F.transform(F.slice(F.filter(ms, lambda s: s["m1"] >= m), 1, 1), lambda s: _along(s, m))
+    return F.coalesce(F.try_element_at(inside, F.lit(1)), _let(F.element_at(ms, -1), lambda s: pt(s["bx"], s["by"])))
 
 
-def side_of(line: Column, px: Column, py: Column) -> Column:
-    """'left' or 'right' of the line at the position nearest to the point."""
-    n = nearest(line, px, py)
-    c = cross(n["bx"] - n["ax"], n["by"] - n["ay"], px - n["x"], py - n["y"])
-    return F.when(c > 0, "left").otherwise("right")
+def substring(ms: Column, a: Column, b: Column) -> Column:
+    """Part of a measured line between two measures; null when it would be a single point."""
+    inner = F.transform(F.filter(ms, lambda s: (s["m1"] > a) & (s["m1"] < b)), lambda s: pt(s["bx"], s["by"]))
+    return F.when(b > a, F.concat(F.array(interpolate(ms, a)), inner, F.array(interpolate(ms, b))))
+
+
+def side_of(ms: Column, px: Column, py: Column) -> Column:
+    """'left' or 'right' of a measured line at the position nearest to the point."""
+    return _let(nearest(ms, px, py), lambda n: F.when(
+        cross(n["bx"] - n["ax"], n["by"] - n["ay"], px - n["x"], py - n["y"]) > 0, "left").otherwise("right"))
 
 
 def bearing_of(dx: Column, dy: Column) -> Column:
@@ -159,21 +165,12 @@ def centroid(line: Column) -> Column:
 
 def offset(line: Column, d: Column) -> Column:
     """Parallel line at signed distance ``d`` (left positive), mitred at vertices."""
-    n = F.size(line)
-
-    def normal(a: Column, b: Column) -> Column:
-        l = dist(a["x"], a["y"], b["x"], b["y"])
-        return pt(-(b["y"] - a["y"]) / l, (b["x"] - a["x"]) / l)
-
-    normals = F.zip_with(F.slice(line, 1, n - 1), F.slice(line, 2, n - 1), normal)
-
-    def move(p: Column, i: Column) -> Column:
-        before = F.element_at(normals, F.greatest(i, F.lit(1)))
-        after = F.element_at(normals, F.least(i + 1, n - 1))
-        k = d / (1 + before["x"] * after["x"] + before["y"] * after["y"])
-        return pt(p["x"] + k * (before["x"] + after["x"]), p["y"] + k * (before["y"] + after["y"]))
-
-    return F.transform(line, move)
+    normals = F.transform(segs(line), lambda s: pt(-(s["by"] - s["ay"]) / seg_len(s), (s["bx"] - s["ax"]) / seg_len(s)))
+    before = F.concat(F.slice(normals, 1, 1), normals)
+    after = F.concat(normals, F.slice(normals, -1, 1))
+    mitre = F.zip_with(before, after, lambda p, q: F.struct(
+        (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y"), (1 + p["x"] * q["x"] + p["y"] * q["y"]).alias("w")))
+    return F.zip_with(line, mitre, lambda v, m: pt(v["x"] + d * m["x"] / m["w"], v["y"] + d * m["y"] / m["w"]))
 
 
 def mid_vertex(line: Column) -> Column:
@@ -284,3 +281,76 @@ def pieces(df: DataFrame, line: str, keep: list[str], max_len: float | None = No
                       *[(F.col("a" + c) + f1 * (F.col("b" + c) - F.col("a" + c))).alias("b" + c) for c in "xy"],
                       (F.col("m0") + f0 * (F.col("m1") - F.col("m0"))).alias("m0"),
                       (F.col("m0") + f1 * (F.col("m1") - F.col("m0"))).alias("m1"))
+
+
+def insert_index(line: Column, px: Column, py: Column, closed: bool = False) -> Column:
+    """Position (0-based splice index) after the edge nearest to the point."""
+    edges = ring_edges(line) if closed else segs(line)
+    d = F.transform(edges, lambda s, i: F.struct(
+        F.round(point_segment_dist(px, py, s["ax"], s["ay"], s["bx"], s["by"]), 6).alias("d"), (i + 1).alias("i")))
+    return F.array_min(d)["i"]
+
+
+def insert_vertex(line: Column, index: Column, p: Column) -> Column:
+    n = F.size(line)
+    return F.concat(F.slice(line, F.lit(1), index), F.array(p), F.slice(line, index + 1, F.greatest(n - index, F.lit(0))))
+
+
+def move_vertex(line: Column, index: Column, p: Column) -> Column:
+    return F.transform(line, lambda q, i: F.when(i == index, p).otherwise(q))
+
+
+def delete_vertex(line: Column, index: Column, least: int = 2) -> Column:
+    """Remove a vertex unless the shape would fall below ``least`` vertices."""
+    kept = F.filter(line, lambda q, i: i != index)
+    return F.when(F.size(line) > least, kept).otherwise(line)
+
+
+def vertices(df: DataFrame, line: str, keep: list[str]) -> DataFrame:
+    """One row per vertex with its index and an endpoint flag."""
+    v = df.select(*keep, F.size(line).alias("_n"), F.posexplode(line).alias("i", "p"))
+    return v.select(*keep, "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"),
+                    F.col("i").isin(0) .__or__(F.col("i") == F.col("_n") - 1).cast("int").alias("endpoint"))
+
+
+def buffer_flat(ax, ay, bx, by, half: float) -> Column:
+    """Counter-clockwise rectangle around a segment, flat at both ends."""
+    l = dist(ax, ay, bx, by)
+    nx, ny = -(by - ay) / l * half, (bx - ax) / l * half
+    return line_of(ax - nx, ay - ny, bx - nx, by - ny, bx + nx, by + ny, ax + nx, ay + ny)
+
+
+def _merge(parts: pd.Series) -> pd.Series:
+    def end(p) -> tuple[float, float]:
+        return (p["x"], p["y"])
+
+    def one(lines):
+        chains = [list(p) for p in lines if len(p) > 1]
+        i = 0
+        while i < len(chains):
+            for j in range(i + 1, len(chains)):
+                a, b = chains[i], chains[j]
+                if end(a[-1]) == end(b[0]):
+                    chains[i] = a + b[1:]
+                elif end(a[-1]) == end(b[-1]):
+                    chains[i] = a + b[-2::-1]
+                elif end(a[0]) == end(b[-1]):
+                    chains[i] = b + a[1:]
+                elif end(a[0]) == end(b[0]):
+                    chains[i] = b[:0:-1] + a
+                else:
+                    continue
+                del chains[j]
+                break
+            else:
+                i += 1
+        if not chains:
+            return None
+        return max(chains, key=lambda c: sum(math.dist(end(p), end(q)) for p, q in zip(c, c[1:])))
+
+    return parts.map(lambda ls: None if ls is None else one(ls))
+
+
+def merge_parts(parts: Column) -> Column:
+    """Join the parts of a multi-line that share end points, else keep the longest chain."""
+    return F.pandas_udf(_merge, "array<struct<x:double,y:double>>")(parts)

@@ -14,8 +14,8 @@ TABLES = ("customer", "orders", "events", "part")
 VIEW_SQL: dict[str, str] = {
     "fx_nodes": """
 SELECT CAST(c_custkey AS BIGINT) AS node_id,
-  CAST(-122.5 + 0.00137 * (c_custkey % 40) + 0.00001 * (c_custkey % 7) AS DOUBLE) AS lon,
-  CAST(37.70 + 0.00108 * floor(c_custkey / 40.0) + 0.00001 * (c_custkey % 5) AS DOUBLE) AS lat
+  CAST(-122.5e0 + 0.00137e0 * (c_custkey % 40) + 0.00001e0 * (c_custkey % 7) AS DOUBLE) AS lon,
+  CAST(37.70e0 + 0.00108e0 * floor(c_custkey / 40.0) + 0.00001e0 * (c_custkey % 5) AS DOUBLE) AS lat
 FROM customer
 """,
     "fx_edges": """
@@ -55,9 +55,9 @@ FROM (
     "fx_vertices": """
 SELECT e.edge_id, CAST(s.seq AS INT) AS seq,
   CAST(CASE s.seq WHEN 0 THEN a.lon WHEN 2 THEN b.lon
-    ELSE (a.lon + b.lon) / 2 - ((e.edge_id % 7) - 3) / 6.0 * (b.lat - a.lat) / 2 * (0.00137 / 0.00108) END AS DOUBLE) AS lon,
+    ELSE (a.lon + b.lon) / 2 - ((e.edge_id % 7) - 3) / 6.0e0 * (b.lat - a.lat) / 2 * (0.00137e0 / 0.00108e0) END AS DOUBLE) AS lon,
   CAST(CASE s.seq WHEN 0 THEN a.lat WHEN 2 THEN b.lat
-    ELSE (a.lat + b.lat) / 2 + ((e.edge_id % 7) - 3) / 6.0 * (b.lon - a.lon) / 2 * (0.00108 / 0.00137) END AS DOUBLE) AS lat
+    ELSE (a.lat + b.lat) / 2 + ((e.edge_id % 7) - 3) / 6.0e0 * (b.lon - a.lon) / 2 * (0.00108e0 / 0.00137e0) END AS DOUBLE) AS lat
 FROM fx_edges e
 JOIN fx_nodes a ON a.node_id = e.u
 JOIN fx_nodes b ON b.node_id = e.v
@@ -67,10 +67,10 @@ CROSS JOIN (SELECT 0 AS seq UNION ALL SELECT 1 UNION ALL SELECT 2) s
 SELECT 10000000 + e.edge_id AS fac_id,
   CASE WHEN e.edge_id % 8 = 1 THEN 'footway' ELSE 'cycleway' END AS highway,
   CASE WHEN e.edge_id % 16 = 1 THEN e.name END AS name,
-  CAST(a.lon - 0.07 * (b.lat - a.lat) * (0.00137 / 0.00108) AS DOUBLE) AS lon0,
-  CAST(a.lat + 0.07 * (b.lon - a.lon) * (0.00108 / 0.00137) AS DOUBLE) AS lat0,
-  CAST(b.lon - 0.07 * (b.lat - a.lat) * (0.00137 / 0.00108) AS DOUBLE) AS lon1,
-  CAST(b.lat + 0.07 * (b.lon - a.lon) * (0.00108 / 0.00137) AS DOUBLE) AS lat1
+  CAST(a.lon - 0.07e0 * (b.lat - a.lat) * (0.00137e0 / 0.00108e0) AS DOUBLE) AS lon0,
+  CAST(a.lat + 0.07e0 * (b.lon - a.lon) * (0.00108e0 / 0.00137e0) AS DOUBLE) AS lat0,
+  CAST(b.lon - 0.07e0 * (b.lat - a.lat) * (0.00137e0 / 0.00108e0) AS DOUBLE) AS lon1,
+  CAST(b.lat + 0.07e0 * (b.lon - a.lon) * (0.00108e0 / 0.00137e0) AS DOUBLE) AS lat1
 FROM fx_edges e
 JOIN fx_nodes a ON a.node_id = e.u
 JOIN fx_nodes b ON b.node_id = e.v
@@ -82,7 +82,7 @@ FROM customer WHERE c_custkey % 13 <> 0
 """,
     "fx_crossings": """
 SELECT CAST(ev.event_id AS BIGINT) AS osmid,
-  CAST(n.lon + 0.00008 * ((ev.event_id % 3) - 1) AS DOUBLE) AS lon, n.lat AS lat,
+  CAST(n.lon + 0.00008e0 * ((ev.event_id % 3) - 1) AS DOUBLE) AS lon, n.lat AS lat,
   CASE ev.event_type WHEN 'click' THEN 'marked' WHEN 'view' THEN 'zebra'
     WHEN 'purchase' THEN 'traffic_signals' WHEN 'error' THEN 'uncontrolled' END AS crossing,
   CASE WHEN ev.event_type = 'signup' AND ev.event_id % 2 = 0 THEN 'crossing' END AS highway,
@@ -94,14 +94,14 @@ FROM events ev JOIN fx_nodes n ON n.node_id = ev.event_id
 """,
     "fx_calming": """
 SELECT CAST(p.p_partkey AS BIGINT) AS osmid, p.p_type AS traffic_calming,
-  CAST(n.lon + 0.00003 * (p.p_size % 4) AS DOUBLE) AS lon, n.lat AS lat
+  CAST(n.lon + 0.00003e0 * (p.p_size % 4) AS DOUBLE) AS lon, n.lat AS lat
 FROM part p JOIN fx_nodes n ON n.node_id = p.p_partkey
 """,
     "fx_gov_ramps": """
 SELECT CAST(p.p_partkey AS BIGINT) AS locid,
   CASE WHEN p.p_size % 10 = 0 THEN '0' ELSE '1' END AS crexist,
-  CASE WHEN p.p_size % 9 = 0 THEN NULL ELSE CAST(n.lon + 0.00004 * ((p.p_size % 5) - 2) AS DOUBLE) END AS longitude,
-  CASE WHEN p.p_size % 9 = 0 THEN NULL ELSE CAST(n.lat + 0.00003 * ((p.p_size % 3) - 1) AS DOUBLE) END AS latitude,
+  CASE WHEN p.p_size % 9 = 0 THEN NULL ELSE CAST(n.lon + 0.00004e0 * ((p.p_size % 5) - 2) AS DOUBLE) END AS longitude,
+  CASE WHEN p.p_size % 9 = 0 THEN NULL ELSE CAST(n.lat + 0.00003e0 * ((p.p_size % 3) - 1) AS DOUBLE) END AS latitude,
   p.p_brand AS curbreturnloc, p.p_type AS positiononreturn, CAST(p.p_size * 2 AS INT) AS conditionscore
 FROM part p JOIN fx_nodes n ON n.node_id = p.p_partkey
 """,
@@ -112,8 +112,8 @@ SELECT CAST(event_id AS BIGINT) AS edit_id, ts, CAST(user_id AS BIGINT) AS user_
   CAST(event_id % 500 AS BIGINT) AS node_id,
   CASE event_id % 3 WHEN 0 THEN 'lanes' WHEN 1 THEN 'lane_width' ELSE 'name' END AS col,
   CASE event_id % 3 WHEN 0 THEN CAST(event_id % 5 AS VARCHAR(20)) WHEN 1 THEN '3.25' ELSE concat('N', CAST(event_id % 50 AS VARCHAR(20))) END AS new_value,
-  CAST(-122.5 + 0.00137 * (event_id % 40) AS DOUBLE) AS x,
-  CAST(37.70 + 0.00108 * (event_id % 37) AS DOUBLE) AS y
+  CAST(-122.5e0 + 0.00137e0 * (event_id % 40) AS DOUBLE) AS x,
+  CAST(37.70e0 + 0.00108e0 * (event_id % 37) AS DOUBLE) AS y
 FROM events
 """,
 }

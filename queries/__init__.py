@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars",)
+MODULES = ("scalars", "geometry")
 
 
 def _load() -> None:

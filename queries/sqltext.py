@@ -14,6 +14,11 @@ def part(name: str, sql: str) -> None:
     PARTS[name] = sql.strip()
 
 
+def _quoted(sql: str) -> str:
+    """Quote column names that the checking engine reserves; keywords are upper case here."""
+    return re.sub(r"\b(by|at)\b", r'"\1"', sql)
+
+
 def with_parts(sql: str) -> str:
     """Prefix a select with the parts it names, dependencies first."""
     order: list[str] = []
@@ -26,9 +31,10 @@ def with_parts(sql: str) -> str:
                     order.append(name)
 
     visit(sql)
+    sql = _quoted(sql)
     if not order:
         return sql.strip()
-    body = ",\n".join(f"{n} AS MATERIALIZED (\n{PARTS[n]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS MATERIALIZED (\n{_quoted(PARTS[n])}\n)" for n in order)
     return f"WITH {body}\n{sql.strip()}"
 
 
