@@ -79,20 +79,30 @@ def nearest_line(points: DataFrame, lines: DataFrame, radius: float, line: str =
     return points.join(best, ["px", "py"]).select("p_id", "l_id", "d")
 
 
-def lines_near_lines(a: DataFrame, b: DataFrame, radius: float, line: str = "utm") -> DataFrame:
-    """(a_id, b_id, d) for line pairs within ``radius``; inputs are (a_id, <line>), (b_id, <line>)."""
+def lines_near_lines(a: DataFrame, b: DataFrame, radius: float, line: str = "utm",
+                     keep_a: list[str] = [], keep_b: list[str] = []) -> DataFrame:
+    """(a_id, b_id, d) for line pairs within ``radius``; inputs are (a_id, <line>), (b_id, <line>).
+
+    ``keep_a`` and ``keep_b`` name small attributes to carry along, which saves
+    joining them back to the pairs.
+    """
     size = max(radius, 1.0)
     cols = ("ax", "ay", "bx", "by")
-    left = _pieces_on_cells(a, "a_id", line, [], 0.0, size).drop("k", "m0", "m1")
-    right = _pieces_on_cells(b, "b_id", line, [], radius, size).drop("k", "m0", "m1")
+    left = _pieces_on_cells(a, "a_id", line, keep_a, 0.0, size).drop("k", "m0", "m1")
+    right = _pieces_on_cells(b, "b_id", line, keep_b, radius, size).drop("k", "m0", "m1")
     for c in cols:
         right = right.withColumnRenamed(c, "r" + c)
     j = left.join(right, ["cx", "cy"])
     p = [F.col(c) for c in cols]
     q = [F.col("r" + c) for c in cols]
+    # boxes further apart than the radius cannot match; this drops most candidates cheaply
+    gap_x = F.greatest(F.least(q[0], q[2]) - F.greatest(p[0], p[2]), F.least(p[0], p[2]) - F.greatest(q[0], q[2]))
+    gap_y = F.greatest(F.least(q[1], q[3]) - F.greatest(p[1], p[3]), F.least(p[1], p[3]) - F.greatest(q[1], q[3]))
+    j = j.where((gap_x <= radius) & (gap_y <= radius))
     j = j.withColumns({"_x": G.seg_cross(*p, *q).isNotNull(),
                        "_1": G.point_segment_dist(p[0], p[1], *q), "_2": G.point_segment_dist(p[2], p[3], *q),
                        "_3": G.point_segment_dist(q[0], q[1], *p), "_4": G.point_segment_dist(q[2], q[3], *p)})
     d = F.when(F.col("_x"), F.lit(0.0)).otherwise(F.least("_1", "_2", "_3", "_4"))
-    return (j.select("a_id", "b_id", d.alias("d")).where(F.col("d") <= radius)
-            .groupBy("a_id", "b_id").agg(F.min("d").alias("d")))
+    carried = [*keep_a, *keep_b]
+    return (j.select("a_id", "b_id", *carried, d.alias("d")).where(F.col("d") <= radius)
+            .groupBy("a_id", "b_id").agg(F.min("d").alias("d"), *[F.any_value(c).alias(c) for c in carried]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "geometry")
+MODULES = ("scalars", "geometry", "matching")
 
 
 def _load() -> None:

@@ -8,8 +8,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbline.config import Params
-from kerbline.functions import crs, geom as G
-from kerbline.operators import network as N
+from kerbline.functions import crs, geom as G, tags
+from kerbline.operators import facilities as FA, network as N
 from kerbline.sources import fixtures
 from kerbline.staging import stage
 from queries import sqltext
@@ -62,7 +62,6 @@ class City:
 
     @cached_property
     def crossings(self) -> DataFrame:
-        from kerbline.functions import tags
         return stage(tags.crossing_attributes(crs.add_utm(self.fx["fx_crossings"])), "crossings")
 
     @cached_property
@@ -76,6 +75,42 @@ class City:
         return stage(f.select("fac_id", "highway", "name", G.line_of(c("lon0"), c("lat0"), c("lon1"), c("lat1")).alias("geom"))
                      .withColumn("utm", crs.utm_line(c("geom"))), "facility_lines")
 
+    @cached_property
+    def elev(self) -> DataFrame:
+        return stage(self.fx["fx_elev"], "elev")
+
+    @cached_property
+    def facs(self) -> DataFrame:
+        return stage(FA.facility_lines(self.facility_lines), "facs")
+
+    @cached_property
+    def roads(self) -> DataFrame:
+        return self.straight.where(tags.is_road(F.col("highway")))
+
+    @cached_property
+    def tag_rows(self) -> DataFrame:
+        """Facility slots of the straight network with sides after the left/right swap."""
+        s = self.straight.withColumn("_rev", tags.reversed_flag(F.col("normalized_bearing"), F.col("bearing")))
+        return tags.facility_rows(s, ["seg_id", "_rev"]).withColumn("side", tags.flip_side(F.col("side"), F.col("_rev"))).drop("_rev")
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        return stage(FA.match_separate(self.facs, self.roads)[0], "placed")
+
+    @cached_property
+    def offset_rows(self) -> DataFrame:
+        rows = FA.place(FA.empty_slots(self.tag_rows), self.placed, self.facs)
+        return stage(FA.add_offsets(rows, self.straight), "offset_rows")
+
+    @cached_property
+    def late(self) -> DataFrame:
+        return stage(FA.match_leftovers(self.facs, self.roads, self.placed, FA.taken_slots(self.offset_rows)), "late")
+
+    @cached_property
+    def facilities(self) -> DataFrame:
+        rows = FA.place(self.offset_rows, self.late, self.facs, fill=True)
+        return stage(FA.add_ids(rows, self.straight), "facilities")
+
     @cached_property
     def gov(self) -> DataFrame:
         return stage(crs.add_utm(self.fx["fx_gov_ramps"], "longitude", "latitude"), "gov")
