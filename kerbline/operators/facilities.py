@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from kerbline.config import Params
 from kerbline.functions import geom as G, tags
 from kerbline.operators.spatial import lines_near_lines
+from kerbline.staging import stage
 
 DEDUP_BUFFER_M, DEDUP_COVERAGE = 1.0, 0.90
 CAPACITY = {"sidewalk": 1, "bikeway": 2}
@@ -36,40 +37,45 @@ def candidates(facs: DataFrame, roads: DataFrame, params: Params = Params()) ->
         (G.axis_diff(F.col("fac_bearing"), F.col("normalized_bearing")) <= params.parallel_deg).alias("parallel"))
 
 
-def capsule_span(ax, ay, bx, by, cx, cy, ex, ey, radius: float) -> Column:
-    """Span (t0, t1) of segment a-b within ``radius`` of segment c-e; null when empty.
+def add_capsule_span(df: DataFrame, radius: float) -> DataFrame:
+    """Add ``s``: the span (t0, t1) of segment a-b within ``radius`` of segment c-e, null when empty.
 
     The neighbourhood of a segment is convex, so the span is the hull of the spans
-    inside its two end discs and its flat middle.
+    inside its two end discs and its flat middle.  Expects ax..by and cx..ey; each
+    step computes its values once.
     """
-    dx, dy = bx - ax, by - ay
-    dd = dx * dx + dy * dy
-
-    def disc(px, py):
-        qb = (ax - px) * dx + (ay - py) * dy
-        disc_ = qb * qb - dd * ((ax - px) * (ax - px) + (ay - py) * (ay - py) - radius * radius)
-        root = F.sqrt(F.greatest(disc_, F.lit(0.0)))
-        return F.when(disc_ >= 0, F.struct(((-qb - root) / dd).alias("t0"), ((-qb + root) / dd).alias("t1")))
-
-    lx, ly = ex - cx, ey - cy
-    ll = F.sqrt(lx * lx + ly * ly)
-    ux, uy = lx / ll, ly / ll
-
-    def slab(p0: Column, dp: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
-        flat = F.abs(dp) < 1e-12
-        inside = (p0 >= lo) & (p0 <= hi)
-        t0 = F.when(flat, F.when(inside, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))).otherwise(F.least((lo - p0) / dp, (hi - p0) / dp))
-        t1 = F.when(flat, F.when(inside, F.lit(float("inf"))).otherwise(F.lit(float("-inf")))).otherwise(F.greatest((lo - p0) / dp, (hi - p0) / dp))
-        return t0, t1
-
-    u0, u1 = slab((ax - cx) * ux + (ay - cy) * uy, dx * ux + dy * uy, F.lit(0.0), ll)
-    v0, v1 = slab((ay - cy) * ux - (ax - cx) * uy, dy * ux - dx * uy, F.lit(-radius), F.lit(radius))
-    m0, m1 = F.greatest(u0, v0), F.least(u1, v1)
-    mid = F.when(m0 <= m1, F.struct(m0.alias("t0"), m1.alias("t1")))
-    spans = F.filter(F.array(disc(cx, cy), disc(ex, ey), mid), lambda s: s.isNotNull())
-    t0 = F.greatest(F.lit(0.0), F.array_min(F.transform(spans, lambda s: s["t0"])))
-    t1 = F.least(F.lit(1.0), F.array_max(F.transform(spans, lambda s: s["t1"])))
-    return F.when(t0 < t1, F.struct(t0.alias("t0"), t1.alias("t1")))
+    c = F.col
+    inf = float("inf")
+    df = df.withColumns({"_dx": c("bx") - c("ax"), "_dy": c("by") - c("ay"), "_lx": c("ex") - c("cx"), "_ly": c("ey") - c("cy")})
+    df = df.withColumns({"_dd": c("_dx") * c("_dx") + c("_dy") * c("_dy"), "_ll": F.sqrt(c("_lx") * c("_lx") + c("_ly") * c("_ly")),
+                         **{f"_q{i}": (c("ax") - c(x)) * c("_dx") + (c("ay") - c(y)) * c("_dy") for i, (x, y) in enumerate((("cx", "cy"), ("ex", "ey")))},
+                         **{f"_r{i}": (c("ax") - c(x)) * (c("ax") - c(x)) + (c("ay") - c(y)) * (c("ay") - c(y)) - radius * radius
+                            for i, (x, y) in enumerate((("cx", "cy"), ("ex", "ey")))}})
+    df = df.withColumns({"_ux": c("_lx") / c("_ll"), "_uy": c("_ly") / c("_ll"),
+                         **{f"_h{i}": c(f"_q{i}") * c(f"_q{i}") - c("_dd") * c(f"_r{i}") for i in (0, 1)}})
+    df = df.withColumns({"_pu": (c("ax") - c("cx")) * c("_ux") + (c("ay") - c("cy")) * c("_uy"), "_du": c("_dx") * c("_ux") + c("_dy") * c("_uy"),
+                         "_pv": (c("ay") - c("cy")) * c("_ux") - (c("ax") - c("cx")) * c("_uy"), "_dv": c("_dy") * c("_ux") - c("_dx") * c("_uy"),
+                         **{f"_w{i}": F.sqrt(F.greatest(c(f"_h{i}"), F.lit(0.0))) for i in (0, 1)}})
+
+    def slab(p: str, d: str, lo: Column, hi: Column, first: bool) -> Column:
+        flat, inside = F.abs(c(d)) < 1e-12, (c(p) >= lo) & (c(p) <= hi)
+        a, b = (lo - c(p)) / F.nullif(c(d), F.lit(0.0)), (hi - c(p)) / F.nullif(c(d), F.lit(0.0))
+        if first:
+            return F.when(flat, F.when(inside, -inf).otherwise(inf)).otherwise(F.least(a, b))
+        return F.when(flat, F.when(inside, inf).otherwise(-inf)).otherwise(F.greatest(a, b))
+
+    zero, r = F.lit(0.0), F.lit(radius)
+    df = df.withColumns({"_u0": slab("_pu", "_du", zero, c("_ll"), True), "_u1": slab("_pu", "_du", zero, c("_ll"), False),
+                         "_v0": slab("_pv", "_dv", -r, r, True), "_v1": slab("_pv", "_dv", -r, r, False)})
+    df = df.withColumns({"_m0": F.greatest("_u0", "_v0"), "_m1": F.least("_u1", "_v1")})
+    spans = F.filter(F.array(*[F.when(c(f"_h{i}") >= 0, F.struct(((-c(f"_q{i}") - c(f"_w{i}")) / c("_dd")).alias("t0"),
+                                                               ((-c(f"_q{i}") + c(f"_w{i}")) / c("_dd")).alias("t1"))) for i in (0, 1)],
+                             F.when(c("_m0") <= c("_m1"), F.struct(c("_m0").alias("t0"), c("_m1").alias("t1")))), lambda x: x.isNotNull())
+    df = df.withColumn("_spans", spans)
+    df = df.withColumns({"_t0": F.greatest(zero, F.array_min(F.transform("_spans", lambda x: x["t0"]))),
+                         "_t1": F.least(F.lit(1.0), F.array_max(F.transform("_spans", lambda x: x["t1"])))})
+    out = F.when(c("_t0") < c("_t1"), F.struct(c("_t0").alias("t0"), c("_t1").alias("t1")))
+    return df.withColumn("s", out)
 
 
 def coverage(pairs: DataFrame, roads: DataFrame, facs: DataFrame, radius: float = DEDUP_BUFFER_M) -> DataFrame:
@@ -79,8 +85,7 @@ def coverage(pairs: DataFrame, roads: DataFrame, facs: DataFrame, radius: float
     f = G.pieces(facs.join(pairs.select("fac_id").distinct(), "fac_id", "left_semi"), "utm", ["fac_id"]).select(
         "fac_id", *[F.col(a).alias(b) for a, b in (("ax", "cx"), ("ay", "cy"), ("bx", "ex"), ("by", "ey"))])
     j = pairs.select("fac_id", "seg_id").join(r, "seg_id").join(f, "fac_id")
-    span = capsule_span(*[F.col(c) for c in ("ax", "ay", "bx", "by", "cx", "cy", "ex", "ey")], radius)
-    per_piece = j.withColumn("s", span).groupBy("fac_id", "seg_id", "k").agg(
+    per_piece = add_capsule_span(j, radius).groupBy("fac_id", "seg_id", "k").agg(
         F.any_value("len").alias("len"), F.array_sort(F.collect_list("s")).alias("spans"))
     zero = F.struct(F.lit(0.0).alias("end"), F.lit(0.0).alias("sum"))
     merged = F.aggregate("spans", zero, lambda a, s: F.struct(
@@ -142,9 +147,9 @@ def match_separate(facs: DataFrame, roads: DataFrame, params: Params = Params())
 
     All duplicates are found before any redirection, so the result does not depend on order.
     """
-    cand = candidates(facs, roads, params)
-    dup_pairs = coincident(cand, roads, facs)
-    chosen = best_road(cand.join(dup_pairs.select("fac_id", "seg_id"), ["fac_id", "seg_id"], "left_anti"))
+    cand = stage(candidates(facs, roads, params), "candidates")  # read by each step below
+    dup_pairs = stage(coincident(cand, roads, facs), "coincident")
+    chosen = stage(best_road(cand.join(dup_pairs.select("fac_id", "seg_id"), ["fac_id", "seg_id"], "left_anti")), "chosen")
     dup_of = (dup_pairs.join(chosen.select("fac_id", F.col("seg_id").alias("center_id")), "fac_id", "left")
               .groupBy("seg_id").agg(F.min_by("center_id", F.struct(F.col("center_id").isNull(), F.col("fac_id"))).alias("center_id")))
     duplicates = dup_of.where("center_id IS NOT NULL AND center_id <> seg_id")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kerbline.config import Params
 from kerbline.functions import crs, geom as G
 from kerbline.operators.ranking import lookup, numbered
+from kerbline.staging import stage
 
 # fixed values: highway classes that do not make a road junction
 NON_ROAD = ("cycleway", "footway", "pedestrian", "path", "steps", "corridor", "bridleway")
@@ -126,7 +127,9 @@ def grid_cells(segments: DataFrame, origin: DataFrame, cell: float = 500.0) -> D
 def grid_ids(segments: DataFrame, origin: DataFrame, cell: float = 500.0, hot_rows: int | None = None) -> DataFrame:
     """Street id ``col_row_seq``: cell of the centroid and the position of the segment inside it."""
     kw = {} if hot_rows is None else {"hot_rows": hot_rows}
-    s = numbered(grid_cells(segments, origin, cell), ["cell_col", "cell_row"], "seg_id", "cell_seq", **kw)
+    # numbering reads its input several times; a stage table spares recomputing the geometry
+    cells = stage(grid_cells(segments, origin, cell), "cells")
+    s = numbered(cells, ["cell_col", "cell_row"], "seg_id", "cell_seq", **kw)
     return s.withColumn("grid_id", F.concat_ws("_", *[F.col(c).cast("string") for c in ("cell_col", "cell_row", "cell_seq")]))
 
 

@@ -64,9 +64,10 @@ def points_near_lines(points: DataFrame, lines: DataFrame, radius: float, line:
     right = _pieces_on_cells(lines, "l_id", line, [], radius, size)
     t = G.param_on_segment(*[F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")])
     j = left.join(right, ["cx", "cy"]).withColumn("t", t)
-    j = j.withColumn("d", G.dist(F.col("px"), F.col("py"), F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax")),
-                                 F.col("ay") + F.col("t") * (F.col("by") - F.col("ay"))))
-    return j.where(F.col("d") <= radius).groupBy("p_id", "l_id").agg(F.min("d").alias("d"))
+    j = j.withColumns({"_ex": F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax")) - F.col("px"),
+                       "_ey": F.col("ay") + F.col("t") * (F.col("by") - F.col("ay")) - F.col("py")})
+    d2 = F.col("_ex") * F.col("_ex") + F.col("_ey") * F.col("_ey")
+    return (j.groupBy("p_id", "l_id").agg(F.sqrt(F.min(d2)).alias("d"))).where(F.col("d") <= radius)
 
 
 def nearest_line(points: DataFrame, lines: DataFrame, radius: float, line: str = "utm") -> DataFrame:
@@ -79,6 +80,22 @@ def nearest_line(points: DataFrame, lines: DataFrame, radius: float, line: str =
     return points.join(best, ["px", "py"]).select("p_id", "l_id", "d")
 
 
+def _segment_distance(j: DataFrame, p: list[Column], q: list[Column]) -> DataFrame:
+    """Add ``d``, the distance of segments p and q, in short steps that each compute a value once."""
+    det = G.cross(p[2] - p[0], p[3] - p[1], q[2] - q[0], q[3] - q[1])
+    ends = ((p[0], p[1], q), (p[2], p[3], q), (q[0], q[1], p), (q[2], q[3], p))
+    j = j.withColumns({"_det": F.nullif(det, F.lit(0.0)),
+                       "_num_t": G.cross(q[0] - p[0], q[1] - p[1], q[2] - q[0], q[3] - q[1]),
+                       "_num_u": G.cross(q[0] - p[0], q[1] - p[1], p[2] - p[0], p[3] - p[1]),
+                       **{f"_t{i}": G.param_on_segment(x, y, *o) for i, (x, y, o) in enumerate(ends)}})
+    j = j.withColumns({"_t": F.col("_num_t") / F.col("_det"), "_u": F.col("_num_u") / F.col("_det"),
+                       **{f"_ex{i}": o[0] + F.col(f"_t{i}") * (o[2] - o[0]) - x for i, (x, y, o) in enumerate(ends)},
+                       **{f"_ey{i}": o[1] + F.col(f"_t{i}") * (o[3] - o[1]) - y for i, (x, y, o) in enumerate(ends)}})
+    d2 = F.least(*[F.col(f"_ex{i}") * F.col(f"_ex{i}") + F.col(f"_ey{i}") * F.col(f"_ey{i}") for i in range(4)])
+    meets = (F.col("_t") >= 0) & (F.col("_t") <= 1) & (F.col("_u") >= 0) & (F.col("_u") <= 1)
+    return j.withColumn("d", F.when(meets, F.lit(0.0)).otherwise(F.sqrt(d2)))
+
+
 def lines_near_lines(a: DataFrame, b: DataFrame, radius: float, line: str = "utm",
                      keep_a: list[str] = [], keep_b: list[str] = []) -> DataFrame:
     """(a_id, b_id, d) for line pairs within ``radius``; inputs are (a_id, <line>), (b_id, <line>).
@@ -99,10 +116,8 @@ def lines_near_lines(a: DataFrame, b: DataFrame, radius: float, line: str = "utm
     gap_x = F.greatest(F.least(q[0], q[2]) - F.greatest(p[0], p[2]), F.least(p[0], p[2]) - F.greatest(q[0], q[2]))
     gap_y = F.greatest(F.least(q[1], q[3]) - F.greatest(p[1], p[3]), F.least(p[1], p[3]) - F.greatest(q[1], q[3]))
     j = j.where((gap_x <= radius) & (gap_y <= radius))
-    j = j.withColumns({"_x": G.seg_cross(*p, *q).isNotNull(),
-                       "_1": G.point_segment_dist(p[0], p[1], *q), "_2": G.point_segment_dist(p[2], p[3], *q),
-                       "_3": G.point_segment_dist(q[0], q[1], *p), "_4": G.point_segment_dist(q[2], q[3], *p)})
-    d = F.when(F.col("_x"), F.lit(0.0)).otherwise(F.least("_1", "_2", "_3", "_4"))
+    j = _segment_distance(j, p, q)
     carried = [*keep_a, *keep_b]
-    return (j.select("a_id", "b_id", *carried, d.alias("d")).where(F.col("d") <= radius)
-            .groupBy("a_id", "b_id").agg(F.min("d").alias("d"), *[F.any_value(c).alias(c) for c in carried]))
+    # the radius test follows the aggregate: a filter on d would be pushed down as a copy of its whole expression
+    return (j.groupBy("a_id", "b_id").agg(F.min("d").alias("d"), *[F.any_value(c).alias(c) for c in carried])
+            .where(F.col("d") <= radius))
