@@ -189,7 +189,7 @@ def ring_edges(ring: Column) -> Column:
 def contains_point(ring: Column, px: Column, py: Column) -> Column:
     """Point in a counter-clockwise convex ring, boundary included."""
     return F.forall(ring_edges(ring), lambda e: cross(
-        e["bx"] - e["ax"], e["by"] - e["ay"], px - e["ax"], py - e["ay"]) >= -1e-9)
+        e["bx"] - e["ax"], e["by"] - e["ay"], px - e["ax"], py - e["ay"]) >= -1e-6)
 
 
 def clip_span(s: Column, ring: Column) -> Column:
@@ -354,3 +354,34 @@ def _merge(parts: pd.Series) -> pd.Series:
 def merge_parts(parts: Column) -> Column:
     """Join the parts of a multi-line that share end points, else keep the longest chain."""
     return F.pandas_udf(_merge, "array<struct<x:double,y:double>>")(parts)
+
+
+def _chain(points: Column) -> Column:
+    """Half of a convex hull over points in sweep order.
+
+    On a convex chain the vertices hidden by the next point form a suffix, so one
+    filter replaces the usual popping loop.
+    """
+    empty = F.expr("CAST(array() AS array<struct<x:double,y:double>>)")
+
+    def keep(acc: Column, p: Column):
+        def visible(q: Column, i: Column) -> Column:
+            a = F.element_at(acc, F.greatest(i, F.lit(1)))
+            return (i == 0) | (cross(q["x"] - a["x"], q["y"] - a["y"], p["x"] - a["x"], p["y"] - a["y"]) > 0)
+        return visible
+
+    return F.aggregate(points, empty, lambda acc, p: F.concat(F.filter(acc, keep(acc, p)), F.array(p)))
+
+
+def hull_ring(points: Column) -> Column:
+    """Convex hull of a point array: counter-clockwise open ring from the least (x, y)."""
+    p = F.array_sort(F.array_distinct(points))
+    lower, upper = _chain(p), _chain(F.reverse(p))
+    return F.concat(F.slice(lower, 1, F.greatest(F.size(lower) - 1, F.lit(0))), F.slice(upper, 1, F.greatest(F.size(upper) - 1, F.lit(0))))
+
+
+def farthest_pair(points: Column) -> Column:
+    """Two most distant points of a short array, as a line in (x, y) order."""
+    pairs = F.flatten(F.transform(points, lambda a: F.transform(points, lambda b: F.struct(
+        (-F.round(dist(a["x"], a["y"], b["x"], b["y"]), 6)).alias("d"), a.alias("a"), b.alias("b")))))
+    return _let(F.array_min(F.filter(pairs, lambda q: q["a"] < q["b"])), lambda q: F.when(q["d"] < 0, F.array(q["a"], q["b"])))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "geometry", "matching")
+MODULES = ("scalars", "geometry", "matching", "junctions")
 
 
 def _load() -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbline.config import Params
 from kerbline.functions import crs, geom as G, tags
-from kerbline.operators import facilities as FA, network as N
+from kerbline.operators import crosswalks as XW, facilities as FA, intersections as IX, network as N
 from kerbline.sources import fixtures
 from kerbline.staging import stage
 from queries import sqltext
@@ -111,6 +111,81 @@ class City:
         rows = FA.place(self.offset_rows, self.late, self.facs, fill=True)
         return stage(FA.add_ids(rows, self.straight), "facilities")
 
+    @cached_property
+    def sidewalks(self) -> DataFrame:
+        return stage(IX.sidewalk_lines(self.facilities, self.straight), "sidewalks")
+
+    @cached_property
+    def arms(self) -> DataFrame:
+        return stage(IX.endpoint_registry(self.sidewalks), "arms")
+
+    @cached_property
+    def ramp_points(self) -> DataFrame:
+        return stage(IX.ramp_points(self.arms, self.straight), "ramp-points")
+
+    @cached_property
+    def ramps(self) -> DataFrame:
+        return stage(IX.curb_ramps(self.ramp_points), "ramps")
+
+    @cached_property
+    def node_hulls(self) -> DataFrame:
+        return stage(IX.build_hulls(self.ramp_points), "node-hulls")
+
+    @cached_property
+    def merged(self) -> tuple[DataFrame, DataFrame]:
+        comps = IX.connected_components(self.node_hulls.select(F.col("node_id").alias("id")), IX.hull_pairs(self.node_hulls))
+        hulls, members = IX.merge_hulls(self.node_hulls, comps)
+        return stage(hulls, "hulls"), stage(members, "members")
+
+    @cached_property
+    def hull_arms(self) -> DataFrame:
+        return stage(XW.hull_arms(IX.node_arms(self.straight), self.merged[1]), "hull-arms")
+
+    @cached_property
+    def slots(self) -> DataFrame:
+        return stage(IX.crosswalk_slots(self.merged[0]), "slots")
+
+    @cached_property
+    def crossed(self) -> DataFrame:
+        return stage(XW.crossed_street(self.slots, self.hull_arms, self.straight, *self.merged), "crossed")
+
+    @cached_property
+    def live_slots(self) -> DataFrame:
+        return self.slots.join(self.crossed.select(*XW.SLOT), XW.SLOT, "left_semi")
+
+    @cached_property
+    def slot_points(self) -> DataFrame:
+        return stage(XW.crossing_points(self.live_slots, self.crossings), "slot-points")
+
+    @cached_property
+    def slot_ramps(self) -> DataFrame:
+        return stage(XW.ramps_in_slots(self.live_slots, self.hull_arms, self.ramps), "slot-ramps")
+
+    @cached_property
+    def slot_hits(self) -> DataFrame:
+        return stage(XW.sidewalk_hits(self.slot_points, self.crossed, self.straight, self.hull_arms, self.sidewalks, self.merged[0]), "slot-hits")
+
+    @cached_property
+    def footpaths(self) -> DataFrame:
+        """Short mapped footways across each seventh street near its start, for chain crosswalks."""
+        a, b = G.first_pt(F.col("utm")), G.last_pt(F.col("utm"))
+        l = G.dist(a["x"], a["y"], b["x"], b["y"])
+        ux, uy = (b["x"] - a["x"]) / l, (b["y"] - a["y"]) / l
+        def at(t: float, v: float):
+            return a["x"] + ux * t - uy * v, a["y"] + uy * t + ux * v
+        s = self.straight.where("edge_id % 7 = 3")
+        two = F.array(G.line_of(*at(5.0, -1.5), *at(5.0, 0.0)), G.line_of(*at(5.0, 0.0), *at(5.0, 1.5)))
+        f = s.select("edge_id", F.posexplode(two).alias("k", "utm")).select((F.col("edge_id") * 2 + F.col("k")).alias("fac_id"), "utm")
+        return stage(f, "footpaths")
+
+    @cached_property
+    def detected(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        return XW.detect(self.slots, self.hull_arms, self.straight, self.sidewalks, self.ramps, self.crossings, self.footpaths, *self.merged)
+
+    @cached_property
+    def crosswalks(self) -> DataFrame:
+        return stage(XW.write(self.detected[0], self.straight, self.facilities), "crosswalks")
+
     @cached_property
     def gov(self) -> DataFrame:
         return stage(crs.add_utm(self.fx["fx_gov_ramps"], "longitude", "latitude"), "gov")
