@@ -248,13 +248,17 @@ def ray_ray(pax, pay, dax, day, pbx, pby, dbx, dby, max_dist: float = 30.0) -> C
     return F.when(ok, pt(ix, iy))
 
 
-def seg_cross(ax, ay, bx, by, cx, cy, dx, dy) -> Column:
-    """Crossing point of segments a-b and c-d, null when they do not meet in one point."""
+def seg_cross(ax, ay, bx, by, cx, cy, dx, dy, slack: float = 0.0) -> Column:
+    """Crossing point of segments a-b and c-d, null when they do not meet in one point.
+
+    ``slack`` lengthens both segments by that share, for lines drawn to end exactly on another.
+    """
     det = cross(bx - ax, by - ay, dx - cx, dy - cy)
     safe = F.nullif(det, F.lit(0.0))
     t = cross(cx - ax, cy - ay, dx - cx, dy - cy) / safe
     u = cross(cx - ax, cy - ay, bx - ax, by - ay) / safe
-    return F.when((t >= 0) & (t <= 1) & (u >= 0) & (u <= 1), pt(ax + t * (bx - ax), ay + t * (by - ay)))
+    lo, hi = -slack, 1.0 + slack
+    return F.when((t >= lo) & (t <= hi) & (u >= lo) & (u <= hi), pt(ax + t * (bx - ax), ay + t * (by - ay)))
 
 
 def line_cross(a: Column, b: Column) -> Column:

@@ -96,7 +96,7 @@ def sidewalk_hits(points: DataFrame, crossed: DataFrame, segments: DataFrame, ar
     q = q.select(*SLOT, "dir", "px", "py", (F.col("px") + F.sin("o") * F.col("dir") * F.col("reach")).alias("ex"),
                  (F.col("py") + F.cos("o") * F.col("dir") * F.col("reach")).alias("ey"))
     sw = _arm_pieces(arms, sidewalks.select("seg_id", "side", "utm"), hulls, "utm", ["side"], 60.0).withColumnRenamed("seg_id", "hit_seg").withColumnRenamed("side", "hit_side")
-    p = G.seg_cross(*[F.col(c) for c in ("px", "py", "ex", "ey", "sax", "say", "sbx", "sby")])
+    p = G.seg_cross(*[F.col(c) for c in ("px", "py", "ex", "ey", "sax", "say", "sbx", "sby")], slack=1e-6)
     hits = q.join(sw.drop("arm", "k", "m0", "m1"), "hull_id").withColumn("p", p).where("p IS NOT NULL")
     d = F.round(G.dist(F.col("px"), F.col("py"), F.col("p.x"), F.col("p.y")), 6)
     best = hits.groupBy(*SLOT, "dir").agg(F.min(F.struct(d.alias("d"), "hit_seg", "hit_side", "p")).alias("m"))

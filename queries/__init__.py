@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "geometry", "matching", "junctions")
+MODULES = ("scalars", "geometry", "matching", "junctions", "viewing")
 
 
 def _load() -> None:

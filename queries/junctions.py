@@ -112,11 +112,11 @@ part("o_captive", f"""SELECT seg_id, side, node_id, greatest(0.0e0, least(1.0e0,
  FROM (SELECT s.*, t.start_node AS node_id FROM o_side s JOIN o_straight t USING (seg_id) UNION SELECT s.*, t.end_node FROM o_side s JOIN o_straight t USING (seg_id)) s JOIN o_hfaces h ON h.node_id = s.node_id)) GROUP BY seg_id, side, node_id""")
 
 
-@query("hull_captive", f"SELECT seg_id, side, {r('max(c.share)',4)} AS share FROM o_captive c JOIN o_side s USING (seg_id, side) WHERE lower(s.presence) IN ('yes','left','separate') GROUP BY seg_id, side HAVING max(c.share) >= 0.03")
+@query("hull_captive", f"SELECT seg_id, side, {r('max(c.share)',3)} AS share FROM o_captive c JOIN o_side s USING (seg_id, side) WHERE lower(s.presence) IN ('yes','left','separate') GROUP BY seg_id, side HAVING max(c.share) >= 0.03")
 def hull_captive(c: City):
     """Threshold lowered to 3 %, since block-long sidewalks never lie inside a junction."""
     sw = c.sidewalks.where(C("presence").isin("yes", "left", "separate"))
-    return rounded(IX.captive_sidewalks(sw, c.node_hulls, 0.03, separate_only=False).select("seg_id", "side", "share"), share=4)
+    return rounded(IX.captive_sidewalks(sw, c.node_hulls, 0.03, separate_only=False).select("seg_id", "side", "share"), share=3)
 
 
 part("o_hgap", f"""SELECT a, b, min(d) AS gap FROM (SELECT p.node_id AS a, q.node_id AS b, {segseg('p.','q.')} AS d FROM (SELECT node_id, ax AS x0, ay AS y0, bx AS x1, by AS y1 FROM o_hfaces) p JOIN (SELECT node_id, ax AS x0, ay AS y0, bx AS x1, by AS y1 FROM o_hfaces) q
@@ -146,10 +146,10 @@ def hull_merge(c: City):
     return IX.merge_hulls(c.node_hulls, wide_components(c))[0].select("hull_id", "n_ramps", "n_nodes")
 
 
-@query("crosswalk_slots", f"SELECT hull_id, face, {r('mx',3)} AS mx, {r('my',3)} AS my, {r('ux',4)} AS ux, {r('uy',4)} AS uy, {r('hl',3)} AS hl, hw FROM o_slots")
+@query("crosswalk_slots", f"SELECT hull_id, face, {r('mx',7)} AS mx, {r('my',7)} AS my, {r('ux',4)} AS ux, {r('uy',4)} AS uy, {r('hl',3)} AS hl, hw FROM o_slots")
 def crosswalk_slots(c: City):
     s = IX.crosswalk_slots(c.merged[0])
-    return rounded(s.select("hull_id", "face", "mx", "my", "ux", "uy", "hl", "hw"), mx=3, my=3, ux=4, uy=4, hl=3)
+    return rounded(s.select("hull_id", "face", "mx", "my", "ux", "uy", "hl", "hw"), mx=7, my=7, ux=4, uy=4, hl=3)
 
 
 def _u(x, y):
@@ -211,7 +211,7 @@ def slot_footways(c: City):
 
 _rt, _ru = xt("q.", "w.")
 part("o_rays", "SELECT hull_id, face, dir, px AS x0, py AS y0, px + sin(o)*dir*reach AS x1, py + cos(o)*dir*reach AS y1 FROM (SELECT p.*, d.dir, radians(t.normalized_bearing + 90) AS o, coalesce(floor(TRY_CAST(t.lanes AS DOUBLE)),2)*coalesce(TRY_CAST(t.lane_width AS DOUBLE),3.0e0) AS reach FROM o_spt p JOIN o_crossed c USING (hull_id, face) JOIN o_straight t ON t.seg_id = c.seg_id CROSS JOIN (SELECT unnest([1,-1]) AS dir) d)")
-part("o_rayhit", f"""SELECT hull_id, face, dir, seg_id AS hit_seg, side AS hit_side, hx, hy FROM (SELECT *, x0+t*(x1-x0) AS hx, y0+t*(y1-y0) AS hy FROM (SELECT q.*, w.seg_id, w.side, {_rt} AS t FROM o_rays q JOIN o_harm a USING (hull_id) JOIN o_side w ON w.seg_id = a.seg_id WHERE {meets('q.','w.')})) QUALIFY row_number() OVER (PARTITION BY hull_id, face, dir ORDER BY round({dist('x0','y0','hx','hy')},6), seg_id, side) = 1""")
+part("o_rayhit", f"""SELECT hull_id, face, dir, seg_id AS hit_seg, side AS hit_side, hx, hy FROM (SELECT *, x0+t*(x1-x0) AS hx, y0+t*(y1-y0) AS hy FROM (SELECT q.*, w.seg_id, w.side, {_rt} AS t FROM o_rays q JOIN o_harm a USING (hull_id) JOIN o_side w ON w.seg_id = a.seg_id WHERE {meets('q.','w.', 1e-6)})) QUALIFY row_number() OVER (PARTITION BY hull_id, face, dir ORDER BY round({dist('x0','y0','hx','hy')},6), seg_id, side) = 1""")
 part("o_hits", "SELECT q.hull_id, q.face, q.dir, q.x0 AS px, q.y0 AS py, coalesce(h.hx, q.x1) AS x, coalesce(h.hy, q.y1) AS y, h.hit_seg, h.hit_side FROM o_rays q LEFT JOIN o_rayhit h ON h.hull_id = q.hull_id AND h.face = q.face AND h.dir = q.dir")
 
 
@@ -223,27 +223,27 @@ def slot_sidewalk_hits(c: City):
 
 def _far(source: str, x: str, y: str) -> str:
     return f"""SELECT hull_id, face, x0, y0, x1, y1 FROM (SELECT a.hull_id, a.face, a.{x} AS x0, a.{y} AS y0, b.{x} AS x1, b.{y} AS y1, {dist(f'a.{x}',f'a.{y}',f'b.{x}',f'b.{y}')} AS d FROM {source} a JOIN {source} b ON a.hull_id = b.hull_id AND a.face = b.face AND (a.{x} < b.{x} OR (a.{x} = b.{x} AND a.{y} < b.{y})))
- QUALIFY row_number() OVER (PARTITION BY hull_id, face ORDER BY round(d,6) DESC, x0, y0, x1, y1) = 1"""
+ WHERE round(d,6) > 0 QUALIFY row_number() OVER (PARTITION BY hull_id, face ORDER BY round(d,6) DESC, x0, y0, x1, y1) = 1"""
 
 
 part("o_far", _far("o_sramp", "rx", "ry"))
 
 
-@query("farthest_pair", f"SELECT hull_id, face, {r('x0',3)} AS x0, {r('y0',3)} AS y0, {r('x1',3)} AS x1, {r('y1',3)} AS y1 FROM o_far")
+@query("farthest_pair", f"SELECT hull_id, face, {r('x0',6)} AS x0, {r('y0',6)} AS y0, {r('x1',6)} AS x1, {r('y1',6)} AS y1 FROM o_far")
 def farthest_pair(c: City):
     f = XW.farthest_pairs(c.slot_ramps, "rx", "ry")
     a, b = F.element_at("pair", 1), F.element_at("pair", 2)
-    return rounded(f.select("hull_id", "face", a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")), x0=3, y0=3, x1=3, y1=3)
+    return rounded(f.select("hull_id", "face", a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")), x0=6, y0=6, x1=6, y1=6)
 
 
 def line_rows(df, keys):
     """Case lines as rows of vertices."""
     v = df.select(*keys, F.posexplode("line").alias("i", "p")).select(*keys, "i", "p.x", "p.y")
-    return rounded(v, x=3, y=3)
+    return rounded(v, x=6, y=6)
 
 
 def _verts(source: str, *xy: str) -> str:
-    return " UNION ALL ".join(f"SELECT hull_id, face, CAST({i} AS INTEGER) AS i, {r(xy[2*i],3)} AS x, {r(xy[2*i+1],3)} AS y FROM {source}" for i in range(len(xy) // 2))
+    return " UNION ALL ".join(f"SELECT hull_id, face, CAST({i} AS INTEGER) AS i, {r(xy[2*i],6)} AS x, {r(xy[2*i+1],6)} AS y FROM {source}" for i in range(len(xy) // 2))
 
 
 part("o_sn", "SELECT hull_id, face, count(*) AS n, any_value(rx) AS rx, any_value(ry) AS ry FROM o_sramp GROUP BY hull_id, face")
@@ -267,12 +267,16 @@ def xwalk_osm_b(c: City):
     return line_rows(XW.case_osm_ab(c.slot_points, c.slot_ramps)[1], XW.SLOT)
 
 
-@query("xwalk_osm_c", _verts("o_cc", "x0", "y0", "px", "py", "x1", "y1"))
+part("o_cc0", "SELECT a.hull_id, a.face, b.x AS x0, b.y AS y0, a.px, a.py, a.x AS x1, a.y AS y1 FROM o_hits a JOIN o_hits b ON a.hull_id = b.hull_id AND a.face = b.face AND a.dir = 1 AND b.dir = -1")
+
+
+@query("xwalk_osm_c", _verts("o_cc0", "x0", "y0", "px", "py", "x1", "y1"))
 def xwalk_osm_c(c: City):
-    return line_rows(XW.case_osm_c(c.slot_hits, c.slot_ramps), XW.SLOT)
+    """All slots with a crossing point, as before any ramp is placed: the lattice has ramps at each of them."""
+    return line_rows(XW.case_osm_c(c.slot_hits, c.slot_ramps.where("false")), XW.SLOT)
 
 
-@query("xwalk_osm_d", f"SELECT hull_id, face, i, {r('x',3)} AS x, {r('y',3)} AS y FROM o_cd")
+@query("xwalk_osm_d", f"SELECT hull_id, face, i, {r('x',6)} AS x, {r('y',6)} AS y FROM o_cd")
 def xwalk_osm_d(c: City):
     return line_rows(XW.case_osm_d(XW.slot_footways(c.live_slots, c.footpaths), c.footpaths), XW.SLOT)
 
@@ -349,7 +353,7 @@ def clear_absorbed(c: City):
     return XW.clear_absorbed(c.sidewalks.select("seg_id", "side"), gone)
 
 
-part("o_share", "SELECT seg_id, side, round(share, 9) AS share, node_id FROM o_captive WHERE share >= 1e-12 QUALIFY row_number() OVER (PARTITION BY seg_id, side ORDER BY round(share,9) DESC, node_id) = 1")
+part("o_share", "SELECT seg_id, side, round(share, 9) AS share, node_id FROM o_captive WHERE round(share, 9) >= 1e-12 QUALIFY row_number() OVER (PARTITION BY seg_id, side ORDER BY round(share,9) DESC, node_id) = 1")
 part("o_inring", f"""SELECT r.seg_id, r.side, r.pos, r.n FROM o_ramps r JOIN o_share s USING (seg_id, side) JOIN o_hfaces h ON h.node_id = s.node_id WHERE s.share < 0.03 GROUP BY ALL HAVING bool_and({cross('h.bx-h.ax','h.by-h.ay','r.x-h.ax','r.y-h.ay')} >= -1e-6)""")
 
 
@@ -366,7 +370,7 @@ def clear_stubs(c: City):
 
 # -- snapping --------------------------------------------------------------------
 
-part("o_ang", "SELECT *, lead(k) OVER w AS nk, first_value(k) OVER w AS fk, row_number() OVER w AS pair, count(*) OVER (PARTITION BY node_id) AS n FROM (SELECT *, seg_id || '/' || side || '/' || pos AS k, round(CASE WHEN atan2(px-nx, py-ny) < 0 THEN atan2(px-nx, py-ny) + 2*pi() ELSE atan2(px-nx, py-ny) END, 9) AS angle FROM o_arm) WINDOW w AS (PARTITION BY node_id ORDER BY angle, arm)")
+part("o_ang", "SELECT *, lead(k) OVER w AS nk, first_value(k) OVER w AS fk, row_number() OVER w AS pair, count(*) OVER (PARTITION BY node_id) AS n FROM (SELECT *, seg_id || '/' || side || '/' || pos AS k, round(CASE WHEN atan2(px-nx, py-ny) < 0 THEN atan2(px-nx, py-ny) + 2*pi() ELSE atan2(px-nx, py-ny) END, 6) AS angle FROM o_arm) WINDOW w AS (PARTITION BY node_id ORDER BY angle, arm)")
 
 
 @query("angular_pairs", "SELECT node_id, k AS a, coalesce(nk, fk) AS b FROM o_ang WHERE n >= 2 AND split_part(k,'/',1) || split_part(k,'/',2) <> split_part(coalesce(nk,fk),'/',1) || split_part(coalesce(nk,fk),'/',2)")

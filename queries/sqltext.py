@@ -94,9 +94,10 @@ def xt(a: str, b: str) -> tuple[str, str]:
     return t, u
 
 
-def meets(a: str, b: str) -> str:
+def meets(a: str, b: str, slack: float = 0.0) -> str:
     t, u = xt(a, b)
-    return f"coalesce({t} >= 0 AND {t} <= 1 AND {u} >= 0 AND {u} <= 1, false)"
+    lo, hi = repr(-slack), repr(1.0 + slack)
+    return f"coalesce({t} >= {lo} AND {t} <= {hi} AND {u} >= {lo} AND {u} <= {hi}, false)"
 
 
 def utm(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y", zone: int = 10) -> str:
