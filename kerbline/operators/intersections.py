@@ -259,6 +259,17 @@ def merge_hulls(hulls: DataFrame, components: DataFrame) -> tuple[DataFrame, Dat
     return rings.join(counts, "hull_id"), members
 
 
+def junction_zones(points: DataFrame, params: Params = Params(), links: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node hulls, merged hulls, members) as stage tables; ``links`` (a, b) forces chosen hulls together."""
+    hulls = stage(build_hulls(points, params.hull_ramp_max_m), "node-hulls")
+    pairs = hull_pairs(hulls, params.hull_merge_buffer_m).select("a", "b")
+    if links is not None:
+        pairs = pairs.unionByName(links.select("a", "b"))
+    comps = connected_components(hulls.select(F.col("node_id").alias("id")), pairs)
+    merged, members = merge_hulls(hulls, comps)
+    return hulls, stage(merged, "hulls"), stage(members, "members")
+
+
 def crosswalk_slots(hulls: DataFrame, half_width: float = 3.0, min_face: float = 0.5) -> DataFrame:
     """One rectangular slot per hull face of at least ``min_face`` metres, in face coordinates."""
     s = hulls.select("hull_id", F.posexplode(G.ring_edges(F.col("ring"))).alias("face", "e")).select("hull_id", "face", "e.*")

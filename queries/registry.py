@@ -128,14 +128,16 @@ class City:
         return stage(IX.curb_ramps(self.ramp_points), "ramps")
 
     @cached_property
+    def zones(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return IX.junction_zones(self.ramp_points)
+
+    @property
     def node_hulls(self) -> DataFrame:
-        return stage(IX.build_hulls(self.ramp_points), "node-hulls")
+        return self.zones[0]
 
-    @cached_property
+    @property
     def merged(self) -> tuple[DataFrame, DataFrame]:
-        comps = IX.connected_components(self.node_hulls.select(F.col("node_id").alias("id")), IX.hull_pairs(self.node_hulls))
-        hulls, members = IX.merge_hulls(self.node_hulls, comps)
-        return stage(hulls, "hulls"), stage(members, "members")
+        return self.zones[1:]
 
     @cached_property
     def hull_arms(self) -> DataFrame:
