@@ -37,3 +37,8 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Unused path in the shared folder, for tables written by path."""
+    return f"{shared_dir(spark)}/kerbline/{name}-{uuid.uuid4().hex[:12]}"

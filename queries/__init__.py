@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalars", "geometry", "matching", "junctions", "viewing", "editing")
+MODULES = ("scalars", "geometry", "matching", "junctions", "viewing", "editing", "tables")
 
 
 def _load() -> None:
