@@ -122,7 +122,7 @@ def case_osm_ab(points: DataFrame, in_slot: DataFrame) -> tuple[DataFrame, DataF
     r = in_slot.join(points, SLOT)
     counts = r.groupBy(*SLOT).agg(F.count("*").alias("n"), F.any_value("rx").alias("rx"), F.any_value("ry").alias("ry"),
                                   F.any_value("px").alias("px"), F.any_value("py").alias("py"))
-    two = counts.where("n >= 2").join(farthest_pairs(r, "rx", "ry"), SLOT)
+    two = counts.where("n >= 2").join(farthest_pairs(r.select(*SLOT, "rx", "ry"), "rx", "ry"), SLOT)
     p = G.pt(F.col("px"), F.col("py"))
     a = _case(two, "osm_a", F.array(F.col("pair")[0], p, F.col("pair")[1]))
     one = counts.where("n = 1")

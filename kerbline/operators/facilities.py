@@ -74,7 +74,8 @@ def add_capsule_span(df: DataFrame, radius: float) -> DataFrame:
     df = df.withColumn("_spans", spans)
     df = df.withColumns({"_t0": F.greatest(zero, F.array_min(F.transform("_spans", lambda x: x["t0"]))),
                          "_t1": F.least(F.lit(1.0), F.array_max(F.transform("_spans", lambda x: x["t1"])))})
-    out = F.when(c("_t0") < c("_t1"), F.struct(c("_t0").alias("t0"), c("_t1").alias("t1")))
+    # greatest and least skip nulls, so an empty list must be tested for
+    out = F.when((F.size("_spans") > 0) & (c("_t0") < c("_t1")), F.struct(c("_t0").alias("t0"), c("_t1").alias("t1")))
     return df.withColumn("s", out)
 
 

@@ -135,8 +135,9 @@ def presnap(ramps: DataFrame, snap_m: float = 1.0) -> DataFrame:
 def ramp_points(arms: DataFrame, segments: DataFrame, params: Params = Params(), is_arm: Column | None = None) -> DataFrame:
     """All ramp points of junctions with at least two of them, after pre-snapping."""
     is_arm = tags.is_walk_arm(F.col("highway")) if is_arm is None else is_arm
-    all_points = (nearest_end_ramps(arms).unionByName(crossing_ramps(pair_crossings(arms, params.hull_ramp_max_m)))
-                  .unionByName(shared_ramps(shared_nodes(segments, is_arm))))
+    # counted, paired and read again below
+    all_points = stage(nearest_end_ramps(arms).unionByName(crossing_ramps(pair_crossings(arms, params.hull_ramp_max_m)))
+                       .unionByName(shared_ramps(shared_nodes(segments, is_arm))), "all-ramp-points")
     counts = all_points.groupBy("node_id").agg(F.count("*").alias("n_ramps")).where("n_ramps >= 2")
     return presnap(all_points.join(counts, "node_id"), params.curb_ramp_snap_m)
 

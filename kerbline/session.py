@@ -17,6 +17,10 @@ def local_session(cores: int | str = 8, memory: str = "16g", shuffle_partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # geometry costs far more processor time per byte than the defaults assume,
+        # so small inputs are spread over all cores instead of being merged
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if checkpoint_dir:
