@@ -1,4 +1,4 @@
-"""Corpus pipeline over ``documents``: stages, each an operator of the text package.
+"""Corpus pipeline over ``documents``: five stages, each an operator of the text package.
 
 Every stage takes the documents that the stage before it kept, written as Parquet
 and read again, and returns documents of the same columns; the last returns the
@@ -13,11 +13,14 @@ from kerbline.llm import stages
 from kerbline.staging import stage
 
 STAGES = [
+    ("quality", stages.good_quality),
     ("line_dedup", stages.without_recurring_lines),
+    ("near_dedup", stages.one_of_each_group),
+    ("decontamination", stages.without_benchmark),
     ("mixing", stages.mixed),
 ]
 
-# A classifier and keyed 64-bit hashes stand between input and output: no SQL states the rows.
+# A fitted classifier stands between input and output: no SQL states the rows.
 ORACLE_SQL = None
 
 

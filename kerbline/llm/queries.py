@@ -2,23 +2,67 @@
 
 from __future__ import annotations
 
-from kerbline.llm import fingerprints, lines, mixing
-from kerbline.llm.base import table
+from pyspark.sql import functions as F
+
+from kerbline.llm import chat, decontamination, fingerprints, language, lines, minhash, mixing, quality, toxicity, urls
+from kerbline.llm.base import held_out, table
+
+
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_near_dedup(spark, sf_dir):
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Likeness(words=4, percent=80))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_line_dedup(spark, sf_dir):
     return lines.kept_lines(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_format(spark, sf_dir):
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = language.predictions(docs, language.train(docs))
+    return out.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_decontamination(spark, sf_dir):
+    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_url_filter(spark, sf_dir):
+    """The number in a url's path is the document that the page shows; bad or toxic documents label their urls for blocking."""
+    pages = table(spark, sf_dir, "pages")
+    shown = pages.select("url", F.expr("try_cast(regexp_extract(url, '://[^?#]*?/([0-9]+)', 1) AS BIGINT)").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+    verdict = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
+    return urls.judged(pages, shown.join(labels.select("doc_id", verdict.alias("verdict")), "doc_id").select("url", "verdict"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_near_dedup, op3_line_dedup, op4_chat_format, op5_fingerprints, op6_language, op7_decontamination,
+    op8_quality, op9_url_filter, op10_mixing)}
 
 MIXING_SQL = """
 WITH sized AS (
@@ -81,4 +125,33 @@ SELECT c.doc_id, CAST(coalesce(len(c.ls), 0) AS INTEGER) AS n_lines, CAST(coales
 FROM cut c LEFT JOIN drops d USING (doc_id)
 """
 
-ORACLES = {"op3_line_dedup": LINES_SQL, "op10_mixing": MIXING_SQL}
+CHAT_SQL = """
+WITH rows AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(1) || text || chr(2), '' ORDER BY turn, role, sha256(role || chr(0) || text)) AS flat,
+         string_agg('<|im_start|>' || role || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), ''
+                    ORDER BY turn, role, sha256(role || chr(0) || text)) AS text
+  FROM rows GROUP BY conv_id),
+once AS (SELECT flat, min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, count(*) AS copies, any_value(text) AS text FROM whole GROUP BY flat)
+SELECT conv_id, CAST(n_turns AS INTEGER) AS n_turns, copies, text FROM once o
+WHERE NOT EXISTS (SELECT 1 FROM once l WHERE l.n_turns > o.n_turns AND starts_with(l.flat, o.flat))
+"""
+
+NEAR_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM worded),
+sized AS (SELECT doc_id, s, CAST(coalesce(len(s), 0) AS BIGINT) AS n FROM sets),
+shingles AS (SELECT doc_id, n, unnest(s) AS x FROM sized),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS m
+         FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met WHERE 100 * m >= 80 * (an + bn - m)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT DISTINCT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+parts AS (SELECT doc_id, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id FROM sized)
+SELECT s.doc_id, s.n AS n_shingles, p.component_id, s.doc_id = p.component_id AS kept FROM sized s JOIN parts p USING (doc_id)
+"""
+
+ORACLES = {"op2_near_dedup": NEAR_SQL, "op3_line_dedup": LINES_SQL, "op4_chat_format": CHAT_SQL, "op10_mixing": MIXING_SQL}
