@@ -17,7 +17,7 @@ repeat id and text are one document; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.llm.base import GAPS, fresh, sized
 from kerbline.staging import stage
@@ -36,18 +36,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     hashed = split.withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x)))
     whole = F.transform("lines", lambda x, i: F.struct(
         i.alias("pos"), x.alias("line"), F.xxhash64(F.get("hashes", i - 1), F.get("hashes", i + 1)).alias("near")))
+    return hashed.select("doc_id", "body", F.inline(whole))
+
+
+def _masked(line: Column) -> Column:
+    """The line with single spaces and its variable fields as one sign; most lines need neither and are only looked at."""
+    odd = line.rlike(r"[0-9\t\x0B-\r]") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     # possessive, from word starts only, so a line is scanned once
-    masked = F.regexp_replace(F.trim(F.regexp_replace("line", GAPS, " ")), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
-    return hashed.select("doc_id", "body", F.inline(whole)).select("doc_id", "body", "pos", masked.alias("masked"), "near").where("masked <> ''")
+    fields = F.regexp_replace(F.trim(F.regexp_replace(line, GAPS, " ")), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
+    return F.when(odd, fields).otherwise(line)
 
 
 def _keyed(docs: DataFrame, min_words: int) -> DataFrame:
     """Lines with enough fixed words, with the leaf of the tree and the hash of the masked line."""
-    n = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
-    fields = (F.length("masked") - F.length(F.replace("masked", F.lit(FIELD), F.lit("")))) / len(FIELD)
+    lines = _lines(docs).select("doc_id", "body", "pos", _masked(F.col("line")).alias("masked"), "near")
+    n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    fields = F.when(F.col("masked").contains(FIELD), (F.length("masked") - F.length(F.replace("masked", F.lit(FIELD), F.lit("")))) / len(FIELD)).otherwise(0)
     head = F.substring_index("masked", " ", DEPTH)
-    return (_lines(docs).where(n - fields >= min_words)
-            .withColumn("leaf", F.xxhash64(n, head)).withColumn("whole", F.xxhash64("masked")))
+    return (lines.withColumn("n", n).where(F.col("n") - fields >= min_words)
+            .withColumn("leaf", F.xxhash64("n", head)).withColumn("whole", F.xxhash64("masked")).drop("n"))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
@@ -58,7 +65,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_words: int = MIN_WO
     leaves = (keyed.groupBy("leaf").agg(F.min("whole").alias("a"), F.max("whole").alias("b"), F.count("*").alias("n"))
               .where(F.col("n") >= min_docs))
     mixed = stage(leaves.where("a <> b").select("leaf"), "leaves")
-    variants = stage(_keyed(docs, min_words).join(sized(mixed), "leaf", "left_semi")
+    # their words are read again from the documents that hold such lines, not from all
+    holders = stage(keyed.join(sized(mixed), "leaf", "left_semi").select("doc_id").distinct(), "holders")
+    some = docs.join(sized(holders), docs["doc_id"].eqNullSafe(holders["doc_id"]), "left_semi")
+    variants = stage(_keyed(some, min_words).join(sized(mixed), "leaf", "left_semi")
                      .groupBy("leaf", "whole").agg(F.first("masked").alias("masked")), "variants")
     words = variants.select("leaf", "whole", F.posexplode(F.split("masked", " ")).alias("at", "word"))
     counted = words.groupBy("leaf", "at", "word").agg(F.count("*").alias("n"))
