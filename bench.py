@@ -10,7 +10,9 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
+from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,7 +22,8 @@ from kerbline.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=cpus)
+    # one machine: its own folder is the shared one
+    spark = local_session(cpus, shuffle_partitions=cpus, checkpoint_dir=Path(tempfile.mkdtemp(prefix="spark-bench-")).as_uri())
 
     from queries import all_queries
     from queries.registry import City

@@ -164,13 +164,23 @@ def centroid(line: Column) -> Column:
 
 
 def offset(line: Column, d: Column) -> Column:
-    """Parallel line at signed distance ``d`` (left positive), mitred at vertices."""
+    """Parallel line at signed distance ``d`` (left positive), mitred at vertices; repeated vertices count once.
+
+    A line that is one point has no side and no parallel; a mitre at a full turn stays at its vertex.
+    """
+    line = distinct_vertices(line)
     normals = F.transform(segs(line), lambda s: pt(-(s["by"] - s["ay"]) / seg_len(s), (s["bx"] - s["ax"]) / seg_len(s)))
     before = F.concat(F.slice(normals, 1, 1), normals)
     after = F.concat(normals, F.slice(normals, -1, 1))
     mitre = F.zip_with(before, after, lambda p, q: F.struct(
         (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y"), (1 + p["x"] * q["x"] + p["y"] * q["y"]).alias("w")))
-    return F.zip_with(line, mitre, lambda v, m: pt(v["x"] + d * m["x"] / m["w"], v["y"] + d * m["y"] / m["w"]))
+    return F.zip_with(line, mitre, lambda v, m: pt(v["x"] + F.coalesce(d * m["x"] / F.nullif(m["w"], F.lit(0.0)), F.lit(0.0)),
+                                                       v["y"] + F.coalesce(d * m["y"] / F.nullif(m["w"], F.lit(0.0)), F.lit(0.0))))
+
+
+def distinct_vertices(line: Column) -> Column:
+    """The line without vertices that repeat the one before them."""
+    return F.filter(line, lambda v, i: (i == 0) | (v != F.get(line, i - 1)))
 
 
 def mid_vertex(line: Column) -> Column:

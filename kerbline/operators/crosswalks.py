@@ -215,7 +215,7 @@ def new_ramps(hits: DataFrame, chosen: DataFrame, segments: DataFrame, members:
     m = members.select("hull_id", F.col("node_id").alias("start_node"), F.lit(True).alias("_s"))
     h = h.join(m, ["hull_id", "start_node"], "left")
     rows = h.select(F.col("hit_seg").alias("seg_id"), F.col("hit_side").alias("side"), F.when(F.col("_s"), "start").otherwise("end").alias("pos"),
-                    "grid_id", "x", "y", F.concat_ws("/", F.lpad(F.col("hull_id").cast("string"), 18, "0"), F.lpad(F.col("face").cast("string"), 6, "0"),
+                    "grid_id", "x", "y", F.concat_ws("/", IX._key((F.col("hull_id"), 18)), IX._key((F.col("face"), 6)),
                                                      F.when(F.col("dir") == 1, "0").otherwise("1")).alias("ord"))
     return IX.assign_ramp_slots(rows, ramps, "osmpoint").drop("ord", "grid_id")
 

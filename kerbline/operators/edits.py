@@ -202,19 +202,34 @@ def draw_segments(segments: DataFrame, drawn: DataFrame) -> DataFrame:
     return segments.unionByName(rows, allowMissingColumns=True)
 
 
+SPLIT_NODES = -(1 << 61)  # nodes made by cuts, below those of bends and drawn lines
+CUT_GAP_M = 0.01
+
+
 def split_segments(segments: DataFrame, points: DataFrame, radius: float = ADD_RADIUS_M) -> DataFrame:
-    """Cut the street nearest to each point at its projection; a street is cut once, by its first edit."""
+    """Cut the street nearest to each point at its projection: (seg_id, edit_id, part, start_node, end_node, utm).
+
+    A street takes all its cuts, in the order they lie on it; of cuts at one place
+    the first stands.  ``edit_id`` is the cut a piece begins with, for the first piece
+    the one it ends with.
+    """
     near = SP.nearest_line(points.select(F.col("edit_id").alias("p_id"), F.col("x").alias("px"), F.col("y").alias("py")),
                            segments.select(F.col("seg_id").alias("l_id"), "utm"), radius)
-    cut = near.groupBy(F.col("l_id").alias("seg_id")).agg(F.min("p_id").alias("edit_id")).join(points.select("edit_id", "x", "y"), "edit_id")
-    j = segments.select("seg_id", "start_node", "end_node", "utm").join(cut, "seg_id").withColumn("ms", G.measured(F.col("utm")))
+    cut = near.select(F.col("l_id").alias("seg_id"), F.col("p_id").alias("edit_id")).join(points.select("edit_id", "x", "y"), "edit_id")
+    j = segments.select("seg_id", "utm").join(cut, "seg_id").withColumn("ms", G.measured(F.col("utm")))
     j = j.withColumn("m", G.nearest(F.col("ms"), F.col("x"), F.col("y"))["m"]).withColumn("len", F.element_at("ms", -1)["m1"])
-    j = j.where((F.col("m") > 0.01) & (F.col("m") < F.col("len") - 0.01))
-    node = -F.col("edit_id")
-    part = F.explode(F.array(
-        F.struct(F.lit(0).alias("part"), F.col("start_node"), node.alias("end_node"), G.substring(F.col("ms"), F.lit(0.0), F.col("m")).alias("utm")),
-        F.struct(F.lit(1).alias("part"), node.alias("start_node"), F.col("end_node"), G.substring(F.col("ms"), F.col("m"), F.col("len")).alias("utm"))))
-    return j.select("seg_id", "edit_id", part.alias("p")).select("seg_id", "edit_id", "p.*")
+    j = j.where((F.col("m") > CUT_GAP_M) & (F.col("m") < F.col("len") - CUT_GAP_M))
+    cuts = j.groupBy("seg_id").agg(F.array_sort(F.collect_list(F.struct("m", "edit_id"))).alias("cuts"))  # the cuts of one street
+    cuts = cuts.withColumn("cuts", F.filter("cuts", lambda c, i: (i == 0) | (c["m"] - F.get("cuts", i - 1)["m"] > CUT_GAP_M)))
+    rows = segments.select("seg_id", "start_node", "end_node", "utm").join(cuts, "seg_id").withColumn("ms", G.measured(F.col("utm")))
+    node = lambda e: F.lit(SPLIT_NODES) - e
+    inner = F.transform("cuts", lambda c: F.struct(c["m"].alias("m"), node(c["edit_id"]).alias("node")))
+    stops = F.concat(F.array(F.struct(F.lit(0.0).alias("m"), F.col("start_node").alias("node"))), inner,
+                     F.array(F.struct(F.element_at("ms", -1)["m1"].alias("m"), F.col("end_node").alias("node"))))
+    rows = rows.withColumn("stops", stops).withColumn("part", F.explode(F.sequence(F.lit(0), F.size("cuts"))))
+    a, b = F.get("stops", F.col("part")), F.get("stops", F.col("part") + 1)
+    return rows.select("seg_id", F.get("cuts", F.greatest(F.col("part") - 1, F.lit(0)))["edit_id"].alias("edit_id"), "part",
+                       a["node"].alias("start_node"), b["node"].alias("end_node"), G.substring(F.col("ms"), a["m"], b["m"]).alias("utm"))
 
 
 def edit_hulls(hulls: DataFrame, edited: DataFrame) -> DataFrame:

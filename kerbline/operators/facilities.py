@@ -51,7 +51,9 @@ def add_capsule_span(df: DataFrame, radius: float) -> DataFrame:
                          **{f"_q{i}": (c("ax") - c(x)) * c("_dx") + (c("ay") - c(y)) * c("_dy") for i, (x, y) in enumerate((("cx", "cy"), ("ex", "ey")))},
                          **{f"_r{i}": (c("ax") - c(x)) * (c("ax") - c(x)) + (c("ay") - c(y)) * (c("ay") - c(y)) - radius * radius
                             for i, (x, y) in enumerate((("cx", "cy"), ("ex", "ey")))}})
-    df = df.withColumns({"_ux": c("_lx") / c("_ll"), "_uy": c("_ly") / c("_ll"),
+    df = df.withColumns({"_ux": F.coalesce(c("_lx") / F.nullif(c("_ll"), F.lit(0.0)), F.lit(1.0)),
+                         "_uy": F.coalesce(c("_ly") / F.nullif(c("_ll"), F.lit(0.0)), F.lit(0.0)),  # a point has any direction
+                         
                          **{f"_h{i}": c(f"_q{i}") * c(f"_q{i}") - c("_dd") * c(f"_r{i}") for i in (0, 1)}})
     df = df.withColumns({"_pu": (c("ax") - c("cx")) * c("_ux") + (c("ay") - c("cy")) * c("_uy"), "_du": c("_dx") * c("_ux") + c("_dy") * c("_uy"),
                          "_pv": (c("ay") - c("cy")) * c("_ux") - (c("ax") - c("cx")) * c("_uy"), "_dv": c("_dy") * c("_ux") - c("_dx") * c("_uy"),
@@ -68,8 +70,8 @@ def add_capsule_span(df: DataFrame, radius: float) -> DataFrame:
     df = df.withColumns({"_u0": slab("_pu", "_du", zero, c("_ll"), True), "_u1": slab("_pu", "_du", zero, c("_ll"), False),
                          "_v0": slab("_pv", "_dv", -r, r, True), "_v1": slab("_pv", "_dv", -r, r, False)})
     df = df.withColumns({"_m0": F.greatest("_u0", "_v0"), "_m1": F.least("_u1", "_v1")})
-    spans = F.filter(F.array(*[F.when(c(f"_h{i}") >= 0, F.struct(((-c(f"_q{i}") - c(f"_w{i}")) / c("_dd")).alias("t0"),
-                                                               ((-c(f"_q{i}") + c(f"_w{i}")) / c("_dd")).alias("t1"))) for i in (0, 1)],
+    spans = F.filter(F.array(*[F.when(c(f"_h{i}") >= 0, F.struct(((-c(f"_q{i}") - c(f"_w{i}")) / F.nullif(c("_dd"), F.lit(0.0))).alias("t0"),
+                                                               ((-c(f"_q{i}") + c(f"_w{i}")) / F.nullif(c("_dd"), F.lit(0.0))).alias("t1"))) for i in (0, 1)],
                              F.when(c("_m0") <= c("_m1"), F.struct(c("_m0").alias("t0"), c("_m1").alias("t1")))), lambda x: x.isNotNull())
     df = df.withColumn("_spans", spans)
     df = df.withColumns({"_t0": F.greatest(zero, F.array_min(F.transform("_spans", lambda x: x["t0"]))),
@@ -243,9 +245,6 @@ def add_ids(rows: DataFrame, segments: DataFrame) -> DataFrame:
     return (r.withColumn("facility_id", F.when(own, full)).withColumn("facility_grid_id", F.when(either, full)).drop("grid_id"))
 
 
-CHUNK = 1024
-
-
 def facility_ends(rows: DataFrame, segments: DataFrame, crosswalks: DataFrame | None = None) -> DataFrame:
     """(fid, end, node_id) for every facility with an id; a crosswalk touches one node with both ends."""
     f = rows.where("facility_grid_id IS NOT NULL").select("seg_id", F.col("facility_grid_id").alias("fid"))
@@ -260,18 +259,11 @@ def facility_ends(rows: DataFrame, segments: DataFrame, crosswalks: DataFrame |
     return out
 
 
-def node_members(ends: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Sorted facility ids per node, in chunks of bounded size for nodes with very many."""
-    m = ends.select("node_id", "fid").distinct()
-    many = m.groupBy("node_id").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select(
-        "node_id", F.ceil(F.col("n") / chunk).cast("int").alias("_parts"))
-    # at most rows / chunk nodes have more than one part
-    m = m.join(F.broadcast(many), "node_id", "left")
-    part = F.pmod(F.xxhash64("fid"), F.coalesce("_parts", F.lit(1))).cast("int")
-    return m.groupBy("node_id", part.alias("part")).agg(F.array_sort(F.collect_list("fid")).alias("ids"))
+def node_members(ends: DataFrame) -> DataFrame:
+    """Sorted facility ids per node, one list each; ``facility_ends`` is the linear form for nodes of very many."""
+    return ends.select("node_id", "fid").distinct().groupBy("node_id").agg(F.array_sort(F.collect_list("fid")).alias("ids"))
 
 
-def neighbours(ends: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Other facilities at each end of a facility, as sorted id lists (one per chunk of the node)."""
-    j = ends.join(node_members(ends, chunk), "node_id")
-    return j.select("fid", "end", "node_id", "part", F.array_remove("ids", F.col("fid")).alias("ids"))
+def neighbours(ends: DataFrame) -> DataFrame:
+    """Other facilities at each end of a facility, as one sorted id list."""
+    return ends.join(node_members(ends), "node_id").select("fid", "end", "node_id", F.array_remove("ids", F.col("fid")).alias("ids"))

@@ -22,8 +22,18 @@ def _held(c: Column) -> Column:
 
 
 def _key(*parts: tuple[Column, int]) -> Column:
-    """Fixed-width sort key from non-negative integers."""
-    return F.concat(*[F.lpad(c.cast("string"), n, "0") for c, n in parts])
+    """Sort key from integers of any sign, wide enough for every long.
+
+    Non-negative numbers are padded to their width, which longer ones exceed with a
+    leading mark; negative ones come first, the least foremost.
+    """
+    def one(c: Column, n: int) -> Column:
+        text = c.cast("string")
+        plain = F.when(F.length(text) <= n, F.lpad(text, n, "0")).otherwise(F.concat(F.lit("~"), F.lpad(text, 20, "0")))
+        below = F.concat(F.lit("!"), F.lpad(c.cast("long").bitwiseXOR(F.lit(-(1 << 63))).cast("string"), 20, "0"))
+        return F.when(c >= 0, plain).otherwise(below)
+
+    return F.concat(*[one(c, n) for c, n in parts])
 
 
 def sidewalk_lines(facilities: DataFrame, segments: DataFrame) -> DataFrame:
@@ -83,7 +93,7 @@ def pair_crossings(arms: DataFrame, reach: float = 15.0) -> DataFrame:
 
 def crossing_ramps(crossings: DataFrame) -> DataFrame:
     """Second ramp source: a crossing point serves both sidewalks."""
-    o = F.concat(F.lit("2"), "arm", "o_arm", F.lpad(F.round(F.col("x") * 1000).cast("long").cast("string"), 12, "0"))
+    o = F.concat(F.lit("2"), "arm", "o_arm", _key((F.round(F.col("x") * 1000).cast("long"), 12)))
     return crossings.select("node_id", "nx", "ny", "x", "y", F.explode(F.array(
         F.struct("seg_id", "side", "pos", "grid_id", F.concat(o, F.lit("0")).alias("ord")),
         F.struct(F.col("o_seg_id").alias("seg_id"), F.col("o_side").alias("side"), F.col("o_pos").alias("pos"),
@@ -111,7 +121,7 @@ def shared_nodes(segments: DataFrame, is_arm: Column) -> DataFrame:
 def shared_ramps(shared: DataFrame) -> DataFrame:
     """Third ramp source; the point is booked on the left start slot of its first arm."""
     return shared.select("node_id", "nx", "ny", "seg_id", F.lit("left").alias("side"), F.lit("start").alias("pos"), "grid_id",
-                         "x", "y", F.concat(F.lit("3"), "arm", F.lpad(F.abs("shared_id").cast("string"), 18, "0")).alias("ord"))
+                         "x", "y", F.concat(F.lit("3"), "arm", _key((F.abs("shared_id"), 18))).alias("ord"))
 
 
 def presnap(ramps: DataFrame, snap_m: float = 1.0) -> DataFrame:
@@ -170,14 +180,17 @@ def convex_hulls(points: DataFrame, key: str) -> DataFrame:
     p = points.select(key, "x", "y").distinct()
     n = p.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > HULL_GROUP).select(
         key, F.ceil(F.sqrt("_n")).cast("int").alias("_parts"))  # at most rows / HULL_GROUP keys
-    p = p.join(F.broadcast(n), key, "left").withColumn(
+    p = p.join(n, key, "left").withColumn(
         "_part", F.pmod(F.xxhash64("x", "y"), F.coalesce("_parts", F.lit(1))))
     corners = p.groupBy(key, "_part").agg(G.hull_ring(F.collect_list(F.struct("x", "y"))).alias("h"), F.count("*").alias("_c"),
                                           F.min(F.struct("x", "y")).alias("lo"), F.max(F.struct("x", "y")).alias("hi"))
-    # flat or tiny groups keep their extreme points
+    # flat or tiny groups keep their extreme points; a key that is flat as a whole is its own two extremes
     pts = F.when(F.size("h") >= 3, F.col("h")).otherwise(F.array("lo", "hi"))
-    second = corners.groupBy(key).agg(F.flatten(F.collect_list(pts)).alias("pts"), F.sum("_c").alias("n_points"))
-    return second.select(key, "n_points", F.array_distinct("pts").alias("pts")).withColumn("ring", G.hull_ring(F.col("pts")))
+    second = corners.groupBy(key).agg(F.flatten(F.collect_list(pts)).alias("pts"), F.sum("_c").alias("n_points"),
+                                      F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    second = second.withColumn("ring", G.hull_ring(F.array_distinct("pts")))
+    ends = F.array_distinct(F.array("lo", "hi"))
+    return second.select(key, "n_points", F.when(F.size("ring") >= 3, F.array_distinct("pts")).otherwise(ends).alias("pts"), "ring")
 
 
 TWO_POINT_HALF_WIDTH_M = 1.0
@@ -220,17 +233,17 @@ def hull_pairs(hulls: DataFrame, buffer_m: float = 10.0) -> DataFrame:
     return near.where("a_id < b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("d").alias("gap"))
 
 
-def connected_components(ids: DataFrame, pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(ids: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, component): least id reachable over ``pairs`` (a, b).
 
     Each round takes the least label among neighbours, then jumps to the label of
-    the label, so the number of rounds grows with the logarithm of the diameter.
-    Rounds are stage tables, and the loop ends when no label changes.
+    the label, which shortens long paths quickly; a label only ever falls, so the loop
+    ends, when none changes.  Rounds are stage tables.
     """
     both = stage(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "pairs")
     touched = both.select(F.col("a").alias("id")).distinct()
     labels = stage(touched.withColumn("label", F.col("id")), "labels")
-    for _ in range(max_rounds):
+    while True:
         seen = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m"))
         hooked = (labels.join(seen.withColumnRenamed("a", "id"), "id")
                   .select("id", F.col("label").alias("old"), F.least("label", "m").alias("label")))
@@ -245,8 +258,6 @@ def connected_components(ids: DataFrame, pairs: DataFrame, max_rounds: int = 64)
         if labels.where("label <> old").isEmpty():
             break
         labels = labels.drop("old")
-    else:
-        raise RuntimeError("components did not settle")
     alone = ids.join(touched, "id", "left_anti").select("id", F.col("id").alias("component"))
     return labels.select("id", F.col("label").alias("component")).unionByName(alone)
 

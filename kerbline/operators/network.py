@@ -47,7 +47,9 @@ def split_deflections(lines: DataFrame, threshold_deg: float = 45.0) -> DataFram
     Inner joints get synthetic node ids, negative and unique over the network.
     """
     cuts = F.concat(F.array(F.lit(1)), G.deflections(F.col("utm"), threshold_deg), F.array(F.size("utm")))
-    p = (lines.withColumn("_cuts", cuts).withColumn("_np", F.size("_cuts") - 1)
+    fits = F.when(F.size("_cuts") <= PIECES_PER_EDGE, F.size("_cuts") - 1).otherwise(F.raise_error(F.concat(
+        F.lit(f"an edge is cut into {PIECES_PER_EDGE} pieces or more, which its ids do not hold: "), F.col("edge_id").cast("string"))))
+    p = (lines.withColumn("_cuts", cuts).withColumn("_np", fits.cast("int"))
          .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("_np") - 1))))
     lo = F.element_at("_cuts", F.col("piece") + 1)
     n = F.element_at("_cuts", F.col("piece") + 2) - lo + 1

@@ -7,25 +7,15 @@ They live below ``spark.checkpoint.dir``, which the cluster names.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for stage tables: the session's own, else a private one for local tests."""
+    """Folder for stage tables: the one the cluster names, else a folder of the warehouse, which all share too."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return _fallback_dirs[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/stage").rstrip("/")
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -20,5 +20,6 @@ def all_queries() -> dict:
 
 def all_oracles() -> dict:
     from queries.registry import ORACLES
-    _load()
-    return dict(ORACLES)
+    from queries.sqltext import with_parts
+    _load()  # parts are named across modules, so they are put together once all are there
+    return {name: with_parts(sql) for name, sql in ORACLES.items()}

@@ -122,12 +122,15 @@ def edit_draw_segment(c: City):
     return ED.draw_segments(c.straight, d).select("grid_id", "highway", "start_is_intersection")
 
 
-part("o_splitpt", f"""SELECT seg_id, min(edit_id) AS edit_id FROM (SELECT edit_id, seg_id FROM (SELECT c.edit_id, s.seg_id, {pseg('c.x','c.y','s.x0','s.y0','s.x1','s.y1')} AS d FROM o_splits c JOIN o_straight s ON least(s.x0,s.x1) <= c.x + 40 AND greatest(s.x0,s.x1) >= c.x - 40 AND least(s.y0,s.y1) <= c.y + 40 AND greatest(s.y0,s.y1) >= c.y - 40) WHERE d <= 40 QUALIFY row_number() OVER (PARTITION BY edit_id ORDER BY round(d,6), seg_id) = 1) GROUP BY seg_id""")
+part("o_splitpt", f"""SELECT DISTINCT seg_id, edit_id FROM (SELECT edit_id, seg_id FROM (SELECT c.edit_id, s.seg_id, {pseg('c.x','c.y','s.x0','s.y0','s.x1','s.y1')} AS d FROM o_splits c JOIN o_straight s ON least(s.x0,s.x1) <= c.x + 40 AND greatest(s.x0,s.x1) >= c.x - 40 AND least(s.y0,s.y1) <= c.y + 40 AND greatest(s.y0,s.y1) >= c.y - 40) WHERE d <= 40 QUALIFY row_number() OVER (PARTITION BY edit_id ORDER BY round(d,6), seg_id) = 1)""")
 part("o_splits", "SELECT edit_id, x + 31.0e0 AS x, y + 7.0e0 AS y FROM o_changes WHERE edit_type = 'add_point'")
 part("o_splitm", f"SELECT *, t*len AS m FROM (SELECT p.seg_id, p.edit_id, s.start_node, s.end_node, {tparam('c.x','c.y','s.x0','s.y0','s.x1','s.y1')} AS t, {dist('s.x0','s.y0','s.x1','s.y1')} AS len FROM o_splitpt p JOIN o_splits c USING (edit_id) JOIN o_straight s ON s.seg_id = p.seg_id) WHERE t*len > 0.01 AND t*len < len - 0.01")
 
 
-@query("edit_split_segment", f"SELECT seg_id, edit_id, CAST(0 AS INTEGER) AS part, start_node, -edit_id AS end_node, {r('m',3)} AS length FROM o_splitm UNION ALL SELECT seg_id, edit_id, 1, -edit_id, end_node, {r('len-m',3)} FROM o_splitm")
+part("o_cuts", "SELECT *, row_number() OVER w AS k, lead(m) OVER w AS next_m, lead(edit_id) OVER w AS next_id FROM (SELECT *, lag(m) OVER (PARTITION BY seg_id ORDER BY m, edit_id) AS m0 FROM o_splitm) WHERE m0 IS NULL OR m - m0 > 0.01 WINDOW w AS (PARTITION BY seg_id ORDER BY m, edit_id)")
+
+
+@query("edit_split_segment", f"SELECT seg_id, edit_id, CAST(0 AS INTEGER) AS part, start_node, -2305843009213693952 - edit_id AS end_node, {r('m',3)} AS length FROM o_cuts WHERE k = 1 UNION ALL SELECT seg_id, edit_id, CAST(k AS INTEGER), -2305843009213693952 - edit_id, coalesce(-2305843009213693952 - next_id, end_node), {r('coalesce(next_m, len)-m',3)} FROM o_cuts")
 def edit_split_segment(c: City):
     pts = of_type(c, "add_point").select("edit_id", (C("x") + 31.0).alias("x"), (C("y") + 7.0).alias("y"))
     s = ED.split_segments(c.straight, pts)
@@ -143,7 +146,7 @@ def edit_hull(c: City):
 
 
 part("o_hcent", """SELECT node_id, fx + sum((ax+bx)*c)/(3*sum(c)) AS x, fy + sum((ay+by)*c)/(3*sum(c)) AS y FROM (SELECT *, ax*by-ay*bx AS c FROM (SELECT node_id, fx, fy, ax-fx AS ax, ay-fy AS ay, bx-fx AS bx, by-fy AS by FROM (SELECT *, first_value(ax) OVER (PARTITION BY node_id ORDER BY face) AS fx, first_value(ay) OVER (PARTITION BY node_id ORDER BY face) AS fy FROM o_hfaces))) GROUP BY node_id, fx, fy""")
-part("o_pick", f"SELECT key_id, node_id, d FROM (SELECT k.key_id, h.node_id, {dist('k.x','k.y','h.x','h.y')} AS d FROM (SELECT edit_id AS key_id, x + 37.0e0 AS x, y + 11.0e0 AS y FROM o_changes WHERE edit_type = 'delete_point') k JOIN o_hcent h ON h.x BETWEEN k.x - 250 AND k.x + 250 AND h.y BETWEEN k.y - 250 AND k.y + 250) QUALIFY row_number() OVER (PARTITION BY key_id ORDER BY round(d,6), node_id) = 1")
+part("o_pick", f"SELECT key_id, node_id, d FROM (SELECT k.key_id, h.node_id, {dist('k.x','k.y','h.x','h.y')} AS d FROM (SELECT edit_id AS key_id, x + 37.0e0 AS x, y + 11.0e0 AS y FROM o_changes WHERE edit_type = 'delete_point') k CROSS JOIN o_hcent h) QUALIFY row_number() OVER (PARTITION BY key_id ORDER BY round(d,6), node_id) = 1")
 
 
 def hull_picks(c: City):

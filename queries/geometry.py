@@ -157,11 +157,11 @@ def g_offset_curve(c: City):
 def _ray_sql() -> str:
     det = "(dbx*day-dax*dby)"
     t = f"((dby*(pax-pbx)-dbx*(pay-pby))/nullif({det},0.0e0))"
-    part("o_rays", f"""SELECT *, {det} AS det, {t} AS t FROM (
+    part("o_pair_rays", f"""SELECT *, {det} AS det, {t} AS t FROM (
 SELECT a.edge_id AS a_id, b.edge_id AS b_id, a.x0 - (a.y1-a.y0)/a.len*5 AS pax, a.y0 + (a.x1-a.x0)/a.len*5 AS pay, (a.x0-a.x1) AS dax, (a.y0-a.y1) AS day,
  b.x0 + (b.y1-b.y0)/b.len*5 AS pbx, b.y0 - (b.x1-b.x0)/b.len*5 AS pby, (b.x0-b.x1) AS dbx, (b.y0-b.y1) AS dby
 FROM o_chord_u a JOIN o_chord_u b ON a.u = b.u WHERE a.edge_id <> b.edge_id)""")
-    return f"""SELECT a_id, b_id, {r('ix',2)} AS x, {r('iy',2)} AS y FROM (SELECT *, pax+t*dax AS ix, pay+t*day AS iy FROM o_rays)
+    return f"""SELECT a_id, b_id, {r('ix',2)} AS x, {r('iy',2)} AS y FROM (SELECT *, pax+t*dax AS ix, pay+t*day AS iy FROM o_pair_rays)
 WHERE abs(det) >= 1e-10 AND t >= 0 AND {dist('pax','pay','ix','iy')} <= 30 AND {dist('pbx','pby','ix','iy')} <= 30"""
 
 

@@ -202,7 +202,7 @@ def query(name: str, sql: str | None = None):
     def wrap(fn: Callable[[City], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: fn(City.of(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = sqltext.with_parts(sql)
+            ORACLES[name] = sql
         return fn
     return wrap
 

@@ -11,6 +11,9 @@ PARTS: dict[str, str] = dict(VIEW_SQL)
 
 
 def part(name: str, sql: str) -> None:
+    """Define a part; a name can be given once, as queries of all modules share the parts."""
+    if PARTS.get(name, sql.strip()) != sql.strip():
+        raise ValueError(f"part {name} is defined twice")
     PARTS[name] = sql.strip()
 
 

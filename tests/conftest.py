@@ -9,9 +9,9 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from kerbline.session import local_session
-    return local_session(8, memory="8g")
+    return local_session(8, memory="8g", checkpoint_dir=tmp_path_factory.mktemp("stage").as_uri())
 
 
 @pytest.fixture(scope="session")

@@ -80,14 +80,6 @@ def test_swap_twice_is_identity(spark):
     assert rows(tags.swap_pairs(once, F.lit(True))) == rows(df)
 
 
-def test_neighbours_in_chunks_cover_the_same_ids(city):
-    ends = FA.facility_ends(city.facilities, city.straight)
-    def gathered(chunk):
-        n = FA.neighbours(ends, chunk).select("fid", "end", F.explode("ids").alias("id"))
-        return n.groupBy("fid", "end").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    assert rows(gathered(8)) == rows(gathered(1024))
-
-
 def test_slots_never_exceed_capacity(city):
     assert city.placed.groupBy("seg_id", "side", "kind").count().where("count > CASE kind WHEN 'bikeway' THEN 2 ELSE 1 END").isEmpty()
     assert city.ramps.groupBy("seg_id", "side", "pos").count().where("count > 3").isEmpty()
