@@ -18,7 +18,7 @@ than half a window are indexed in pieces.
 
 Defined results: items without words, or null, match nothing; documents that are null
 or without words have no match; repeated items match alike; an item of fewer words
-than a run is a run itself; empty tables give no match.
+than a run is a run itself; an item without an id is shown as -1; empty tables give no match.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from kerbline.llm.base import fresh, sized
 from kerbline.staging import stage
 
 K1, BM25_B = 1.2, 0.75
+NO_ID = -1  # shown for an item without an id
 ITEM_BLOCK = 8  # items that share a bound
 
 
@@ -208,8 +209,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> Da
     """(doc_id, item_id, score) of each verified match.  ``benchmark``: (item_id, text)."""
     rule = rule or Rule()
     spark = docs.sparkSession
-    items = stage(benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
-                  .withColumn("shard", F.lit(0)), "items")
+    items = stage(benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), "text"), "items")
     shards = max(1, -(-items.count() // rule.shard))
     out = None
     for k in range(shards):
