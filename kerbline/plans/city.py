@@ -114,19 +114,35 @@ def wide(net: Network) -> DataFrame:
         "normalized_bearing", "name", "highway", tags.parse_maxspeed(F.col("maxspeed")).alias("maxspeed"), "oneway",
         tags.parse_lanes(F.col("lanes")).alias("lanes"), tags.parse_lane_width(F.col("lane_width")).alias("lane_width"),
         "street_incline", F.col("elev_start").alias("elev_start_m"), F.col("elev_end").alias("elev_end_m"), F.col("utm").alias("street_geometry"),
-        F.slice("utm", 1, 1).alias("start_node_geometry"), F.slice("utm", -1, 1).alias("end_node_geometry"))
+        F.slice("utm", 1, 1).alias("start_node_geometry"), F.slice("utm", -1, 1).alias("end_node_geometry"),
+        *[c for t, c in (("surface", F.when(F.col("surface").isNotNull(), F.array("surface")).alias("surface")),
+                         ("smoothness", F.col("smoothness").alias("street_condition"))) if t in net.segments.columns])
+
+    # the street's own features: calming points in order, as JSON lists, one geometry vertex each
+    c = net.calming.groupBy("seg_id").agg(F.array_sort(F.collect_list(F.struct("pos", "osmid", "feature_type", "x", "y", "proj_x", "proj_y"))).alias("c"))
+    place = lambda x, y: F.transform("c", lambda v: F.struct(v[x].alias("x"), v[y].alias("y")))
+    out = out.join(c, "seg_id", "left").withColumns({
+        "street_feature_types": F.to_json("c.feature_type"), "public_data_id_street_feature": F.to_json(F.transform("c.osmid", lambda v: v.cast("string"))),
+        "street_feature_geometry": place("x", "y"), "street_feature_geometry_projected": place("proj_x", "proj_y")}).drop("c")
+
+    # what meets a facility or crosswalk at either end
+    met = FA.neighbours(net.facility_ends).groupBy("fid").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("end") == "from", F.col("ids"))))).alias("from_segments"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("end") == "to", F.col("ids"))))).alias("to_segments"))
 
     # sidewalk lines after snapping and clean-up replace the raw ones
     clean = net.sidewalks.select("seg_id", "side", F.col("utm").alias("_u"))
     f = net.facilities.join(clean, ["seg_id", "side"], "left").withColumn(
         "utm", F.when(F.col("facility") == "sidewalk", F.col("_u")).otherwise(F.col("utm"))).drop("_u")
+    f = f.join(met.withColumnRenamed("fid", "facility_grid_id"), "facility_grid_id", "left")
     name = F.when(F.col("facility") == "sidewalk", F.concat_ws("_", "facility", "side")).otherwise(
         F.concat_ws("_", "facility", "side", F.col("slot").cast("string")))
     f = pivot(f, name, {c: c for c in ("facility_id", "facility_grid_id", "presence", "surface", "condition", "quality", "width", "incline",
-                                        "separator", "offset", "permitted", "utm")})
+                                        "separator", "offset", "permitted", "utm", "from_segments", "to_segments")})
     ramp_fields = ("ramp_id", "locid", "returnloc", "returnposition", "condition_score", "quality", "x", "y")
     r = pivot(net.ramps, F.concat_ws("_", "side", "pos", F.col("n").cast("string")), {c: c for c in ramp_fields})
-    x = pivot(net.crosswalks, F.col("pos"), {c: c for c in ("crosswalk_id", "grid_ids", "source", "utm", *tags.CROSSING_ATTRS)})
+    x = net.crosswalks.join(met.withColumnRenamed("fid", "crosswalk_id"), "crosswalk_id", "left")
+    x = pivot(x, F.col("pos"), {c: c for c in ("crosswalk_id", "grid_ids", "source", "utm", "from_segments", "to_segments", *tags.CROSSING_ATTRS)})
     out = (out.join(f.withColumnRenamed("m", "_f"), "seg_id", "left").join(r.withColumnRenamed("m", "_r"), "seg_id", "left")
            .join(x.withColumnRenamed("m", "_x"), "seg_id", "left"))
 
@@ -137,13 +153,15 @@ def wide(net: Network) -> DataFrame:
         p = f"sidewalk_{side}"
         cols.update({f"{p}_ID": v["facility_id"], f"{p}_grid_ID": v["facility_grid_id"], f"{p}_presence": v["presence"], f"{p}_surface": one(v["surface"]),
                      f"{p}_condition": v["condition"], f"{p}_quality": v["quality"], f"{p}_width": v["width"], f"{p}_incline": v["incline"],
-                     f"{p}_seperator": v["separator"], f"{p}_offset": v["offset"], f"{p}_geometry": v["utm"]})
+                     f"{p}_seperator": v["separator"], f"{p}_offset": v["offset"], f"{p}_geometry": v["utm"],
+                     f"{p}_from_segments": v["from_segments"], f"{p}_to_segments": v["to_segments"]})
         for n in schema.BIKE_SLOTS:
             v = F.try_element_at("_f", F.lit(f"bikeway_{side}_{n}"))
             p = f"bikeway_{side}_{n}"
             cols.update({f"{p}_id": v["facility_id"], f"{p}_grid_id": v["facility_grid_id"], f"{p}_type": one(v["presence"]), f"{p}_surface": one(v["surface"]),
                          f"{p}_condition": v["condition"], f"{p}_quality": v["quality"], f"{p}_permitted": one(v["permitted"]), f"{p}_width": v["width"],
-                         f"{p}_incline": v["incline"], f"{p}_seperator": v["separator"], f"{p}_offset": v["offset"], f"{p}_geometry": v["utm"]})
+                         f"{p}_incline": v["incline"], f"{p}_seperator": v["separator"], f"{p}_offset": v["offset"], f"{p}_geometry": v["utm"],
+                         f"{p}_from_segments": v["from_segments"], f"{p}_to_segments": v["to_segments"]})
         for end in schema.ENDS:
             for n in schema.RAMP_SLOTS:
                 v = F.try_element_at("_r", F.lit(f"{side}_{end}_{n}"))
@@ -156,7 +174,7 @@ def wide(net: Network) -> DataFrame:
         v = F.try_element_at("_x", F.lit(end))
         p = f"crosswalk_{end}"
         cols.update({f"{p}_id": v["crosswalk_id"], f"{p}_grid_ids": F.to_json(v["grid_ids"]), f"{p}_source": v["source"], f"{p}_geometry": v["utm"],
-                     **{f"{p}_{a}": v[a] for a in tags.CROSSING_ATTRS}})
+                     f"{p}_from_segments": v["from_segments"], f"{p}_to_segments": v["to_segments"], **{f"{p}_{a}": v[a] for a in tags.CROSSING_ATTRS}})
     return schema.fill(out.select("*", *[c.alias(n) for n, c in cols.items()]).drop("_f", "_r", "_x"))
 
 
@@ -187,10 +205,17 @@ def recompute(net: Network, nodes: DataFrame, params: Params = Params(), links:
     j = junctions(part, rows, lines, net.crossings, net.footways, params, links)
     manual = net.ramps.join(touched, ["seg_id", "pos"], "left_semi").where("quality NOT IN ('topology', 'osmpoint')")
     fresh = j["ramps"].join(touched, ["seg_id", "pos"], "left_semi").join(manual.select("seg_id", "side", "pos", "n"), ["seg_id", "side", "pos", "n"], "left_anti")
+    # sidewalk lines of the patch: where a street was looked at from one end only, lines that were cleared stay so
+    whole = part.where("start_is_intersection AND end_is_intersection").select("seg_id").distinct()
+    had = net.sidewalks.select("seg_id", "side").unionByName(lines.join(whole, "seg_id", "left_semi").select("seg_id", "side")).distinct()
+    walks = j["sidewalks"].join(had, ["seg_id", "side"], "left_semi").select(*[c for c in net.sidewalks.columns if c in j["sidewalks"].columns])
+    crosswalks = stage(replace_rows(net.crosswalks, j["crosswalks"].join(touched, ["seg_id", "pos"], "left_semi"), touched, ["seg_id", "pos"]), "new-crosswalks")
     return replace(
         net,
+        sidewalks=stage(replace_rows(net.sidewalks, walks, segs, ["seg_id"]), "new-sidewalks"),
+        facility_ends=stage(FA.facility_ends(net.facilities, net.segments, crosswalks), "new-facility-ends"),
         ramps=stage(replace_rows(net.ramps, fresh.unionByName(manual, allowMissingColumns=True), touched, ["seg_id", "pos"]), "new-ramps"),
-        crosswalks=stage(replace_rows(net.crosswalks, j["crosswalks"].join(touched, ["seg_id", "pos"], "left_semi"), touched, ["seg_id", "pos"]), "new-crosswalks"),
+        crosswalks=crosswalks,
         hulls=stage(replace_rows(net.hulls, j["hulls"], hull_ids, ["hull_id"]), "new-hulls"),
         members=stage(replace_rows(net.members, j["members"], nodes, ["node_id"]), "new-members"),
         slots=stage(replace_rows(net.slots, j["slots"], hull_ids, ["hull_id"]), "new-slots"))

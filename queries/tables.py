@@ -145,11 +145,8 @@ def network_of(c: City) -> city.Network:
 
 @query("build_network")
 def build_network(c: City):
-    """Every step on the split network, as one wide row per segment."""
-    w = city.wide(network_of(c))
-    return w.select("street_grid_id", "street_id", "start_node_id", "end_node_id", "normalized_bearing", "name", "highway", "maxspeed", "lanes",
-                    "street_incline", "sidewalk_left_ID", "sidewalk_left_quality", "sidewalk_right_ID", "bikeway_left_1_id",
-                    "sidewalk_left_curbramp_start_1_ID", "crosswalk_start_id", "crosswalk_start_source", "crosswalk_end_id")
+    """Every step on the split network, as one wide row per segment with all columns."""
+    return city.wide(network_of(c))
 
 
 @query("apply_changeset")

@@ -1,6 +1,7 @@
 """Invariants of operators and plans that no single SQL text states."""
 
 import random
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -112,6 +113,29 @@ def test_recompute_equals_full_build_and_is_stable(city):
     assert rows(twice.ramps.select("seg_id", "side", "pos", "n")) == rows(again.ramps.select("seg_id", "side", "pos", "n"))
 
 
+def test_wide_view_holds_what_the_long_tables_hold(city):
+    net = network_of(city)
+    w = plan.wide(net)
+    filled = w.agg(*[F.count(F.when(F.col(f"`{n}`").isNotNull(), 1)).alias(n) for n in w.columns]).first().asDict()
+    at = net.segments.select("seg_id")
+    assert filled["street_feature_types"] == net.calming.join(at, "seg_id", "left_semi").select("seg_id").distinct().count() > 0
+    sides = net.facilities.where("facility = 'sidewalk' AND side = 'left' AND facility_grid_id IS NOT NULL")
+    assert filled["sidewalk_left_from_segments"] == filled["sidewalk_left_to_segments"] == sides.count() > 0
+    assert filled["crosswalk_start_from_segments"] == net.crosswalks.where("pos = 'start' AND crosswalk_id IS NOT NULL").count() > 0
+
+
+def test_recompute_of_moved_nodes_replaces_sidewalks(city):
+    net = network_of(city)
+    node = net.members.select("node_id").orderBy("node_id").limit(1)
+    moved = net.segments.join(node.withColumnRenamed("node_id", "start_node"), "start_node", "left_semi").select("seg_id")
+    shift = F.transform("utm", lambda p: F.struct((p["x"] + 3.0).alias("x"), p["y"].alias("y")))
+    fac = net.facilities.join(moved.withColumn("_m", F.lit(True)), "seg_id", "left").withColumn(
+        "utm", F.when(F.col("_m"), shift).otherwise(F.col("utm"))).drop("_m")
+    done = plan.recompute(replace(net, facilities=fac), node, from_snap=True)
+    old, new = (n.sidewalks.join(moved, "seg_id", "left_semi").select("seg_id", "side", F.round(F.col("utm")[0]["x"], 3)) for n in (net, done))
+    assert rows(old) != rows(new) and done.facility_ends.count() > 0
+
+
 def test_attribute_edits_alone_recompute_nothing(city):
     net = network_of(city)
     first = net.segments.groupBy(F.col("start_node").alias("node_id")).agg(F.min("seg_id").alias("seg_id"))
