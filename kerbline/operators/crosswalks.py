@@ -221,8 +221,14 @@ def new_ramps(hits: DataFrame, chosen: DataFrame, segments: DataFrame, members:
 
 
 def clear_absorbed(rows: DataFrame, absorbed: DataFrame) -> DataFrame:
-    """Drop ramps or sidewalks that belong to footway rows consumed by a chain."""
-    return rows.join(absorbed.select(F.col("fac_id").alias("seg_id")).distinct(), "seg_id", "left_anti")
+    """Drop ramps or sidewalks of segments, ``absorbed`` (seg_id), whose own footway a chain consumed."""
+    return rows.join(absorbed.select("seg_id").distinct(), "seg_id", "left_anti")
+
+
+def absorbed_segments(absorbed: DataFrame, footways: DataFrame, segments: DataFrame) -> DataFrame:
+    """(seg_id) of the street edges that consumed footways are; a footway that is no street edge has a null ``edge_id``."""
+    own = footways.where("edge_id IS NOT NULL").select("fac_id", "edge_id")
+    return absorbed.select("fac_id").distinct().join(own, "fac_id").join(segments.select("edge_id", "seg_id"), "edge_id").select("seg_id")
 
 
 def clear_stubs(sidewalks: DataFrame, ramps: DataFrame, node_hulls: DataFrame, threshold: float = 0.90) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,10 @@ NAME_BONUS_M = 10.0
 
 
 def facility_lines(lines: DataFrame) -> DataFrame:
-    """Rows that are separately mapped facilities: (fac_id, kind, name, surface, bearing, utm)."""
+    """Rows that are separately mapped facilities: (fac_id, kind, name, surface, bearing, utm, edge_id).
+
+    ``edge_id`` names the street edge that a facility is itself, where the input has it.
+    """
     none = F.lit(None).cast("string")
     bicycle = F.col("bicycle") if "bicycle" in lines.columns else none
     footway = F.col("footway") if "footway" in lines.columns else none
@@ -23,7 +26,8 @@ def facility_lines(lines: DataFrame) -> DataFrame:
     bike, foot = tags.is_cycleway(F.col("highway"), bicycle), tags.is_footway(F.col("highway"), bicycle)
     crossing = tags.is_crossing(F.col("highway"), footway)
     return (lines.withColumn("kind", F.when(bike, "bikeway").when(foot & ~crossing, "sidewalk")).where("kind IS NOT NULL")
-            .select("fac_id", "kind", "name", surface.alias("surface"), G.bearing(F.col("utm")).alias("fac_bearing"), "utm"))
+            .select("fac_id", "kind", "name", surface.alias("surface"), G.bearing(F.col("utm")).alias("fac_bearing"), "utm",
+                    (F.col("edge_id") if "edge_id" in lines.columns else F.lit(None)).cast("long").alias("edge_id")))
 
 
 def candidates(facs: DataFrame, roads: DataFrame, params: Params = Params()) -> DataFrame:

@@ -73,7 +73,8 @@ def junctions(segments: DataFrame, facilities: DataFrame, sidewalks: DataFrame,
     crosswalks = stage(XW.attributes(XW.write(chosen, segments, facilities), crossings), "crosswalks")
     ramps = ramps.unionByName(XW.new_ramps(hits, chosen, segments, members, ramps), allowMissingColumns=True)
     by_node = members.join(hulls.select("hull_id", "ring"), "hull_id")
-    walks, ramps = XW.clear_stubs(XW.clear_absorbed(walks, absorbed), XW.clear_absorbed(ramps, absorbed), by_node)
+    gone = stage(XW.absorbed_segments(absorbed, footways, segments), "absorbed")
+    walks, ramps = XW.clear_stubs(XW.clear_absorbed(walks, gone), XW.clear_absorbed(ramps, gone), by_node)
     return {"ramps": stage(ramps, "clean-ramps"), "hulls": hulls, "members": members, "slots": slots, "crosswalks": crosswalks,
             "sidewalks": stage(walks, "clean-sidewalks")}
 
@@ -87,7 +88,7 @@ def build(inputs: Inputs, params: Params = Params()) -> Network:
     facs = stage(FA.facility_lines(inputs.facility_lines), "facility-lines")
     segments, facilities, left = street_facilities(sloped, facs, params)
     segments, facilities = stage(segments, "segments"), stage(facilities, "facilities")
-    footways = stage(left.where("kind = 'sidewalk'").select("fac_id", "utm"), "footways")
+    footways = stage(left.where("kind = 'sidewalk'").select("fac_id", "utm", "edge_id"), "footways")
     sidewalks = stage(snap.snap_endpoints(IX.sidewalk_lines(facilities, segments), segments), "snapped")
     j = junctions(segments, facilities, sidewalks, inputs.crossings, footways, params)
     roads = segments.where(tags.is_road(F.col("highway")))

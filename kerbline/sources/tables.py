@@ -22,9 +22,10 @@ def scan_edges(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_nodes(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    keep = ("highway", "crossing", "markings", "signals", "island", "continuous", "kerb", "tactile_paving", "traffic_calming")
+    keep = ("highway", "crossing", "kerb", "tactile_paving", "traffic_calming")
+    detail = [next((F.col(f"`{c}`").alias(n) for c in (f"crossing:{n}", n) if c in df.columns), None) for n in ("markings", "signals", "island", "continuous")]
     key = "osmid" if "osmid" in df.columns else "node_id"
-    return df.select(F.col(key).cast("long").alias(key), "lon", "lat", *[c for c in keep if c in df.columns])
+    return df.select(F.col(key).cast("long").alias(key), "lon", "lat", *[c for c in keep if c in df.columns], *[c for c in detail if c is not None])
 
 
 def scan_calming(spark: SparkSession, path: str) -> DataFrame:

@@ -349,7 +349,8 @@ def crosswalk_attrs(c: City):
 @query("clear_absorbed", "SELECT seg_id, side FROM o_side WHERE seg_id NOT IN (SELECT fac_id // 2 * 4096 FROM o_sfoot JOIN o_chosen c USING (hull_id, face) WHERE c.source = 'osm_d')")
 def clear_absorbed(c: City):
     """Sidewalk rows of streets whose footpath was consumed by a chain crosswalk."""
-    gone = c.detected[2].select((F.floor(C("fac_id") / 2) * 4096).cast("long").alias("fac_id"))
+    own = c.detected[2].select("fac_id", F.floor(C("fac_id") / 2).cast("long").alias("edge_id"))
+    gone = XW.absorbed_segments(c.detected[2], own, c.straight)
     return XW.clear_absorbed(c.sidewalks.select("seg_id", "side"), gone)
 
 
