@@ -84,64 +84,71 @@ PROBES = _probes()
 
 
 def packed(codes: Column) -> Column:
+    """Binary form: one byte a code, none without words."""
+    return F.unhex(F.array_join(F.transform(codes, lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+
+
+def shown(fingerprint: Column) -> Column:
     """Text form: two hex digits a code, or dashes without words."""
-    return F.when(F.size(codes) == 0, "--").otherwise(
-        F.array_join(F.transform(codes, lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), ""))
+    return F.when(F.length(fingerprint) == 0, "--").otherwise(F.lower(F.hex(fingerprint)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated likeness of two texts from their codes, 0 to 1, corrected for chance."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)) / F.lit(float(BINS))
+    """Estimated likeness of two texts from their packed codes, 0 to 1, corrected for chance."""
+    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))) / F.lit(float(BINS))
     chance = 2.0 ** -BITS
     fair = F.greatest(F.lit(0.0), (same - chance) / (1 - chance))
-    return (F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(fair))
+    return (F.when((F.length(a) == 0) & (F.length(b) == 0), 1.0).when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(fair))
+
+
+KEY = ["i", "nul", "tie"]  # id or 0, whether it is null, hash of the text
 
 
 def successors(ids: DataFrame) -> DataFrame:
-    """(doc_id, tie, next_id, next_tie): the row after each by (doc_id, tie), the first after the last.
+    """KEY columns of each row and ``next``, those of the row after it in order of id and tie, the first after the last.
 
     Ids are dealt into ordered ranges and written; a row finds its successor within
     its range, the last one of a range in the first of the next range that has rows.
     """
-    parts = stage(ids.repartitionByRange("doc_id", "tie").withColumn("part", F.spark_partition_id()), "ids")
-    inside = F.lead(F.struct("doc_id", "tie")).over(W.partitionBy("part").orderBy("doc_id", "tie"))
-    heads = parts.groupBy("part").agg(F.min(F.struct("doc_id", "tie")).alias("head"))  # one row per range
+    order = [F.col("nul").desc(), F.col("i"), F.col("tie")]
+    parts = stage(ids.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ids")
+    inside = F.lead(F.struct(*KEY)).over(W.partitionBy("part").orderBy(*order))
+    heads = parts.groupBy("part").agg(F.min(F.struct((~F.col("nul")).alias("named"), "i", "tie")).alias("h"))  # one row per range
+    heads = heads.withColumn("head", F.struct(F.col("h.i").alias("i"), (~F.col("h.named")).alias("nul"), F.col("h.tie").alias("tie")))
     over = W.orderBy("part")
     heads = heads.select("part", F.coalesce(F.lead("head").over(over), F.first("head").over(
         over.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
-    linked = parts.withColumn("inside", inside).join(heads, "part").withColumn("n", F.coalesce("inside", "after"))
-    return linked.select("doc_id", "tie", F.col("n.doc_id").alias("next_id"), F.col("n.tie").alias("next_tie"))
+    return parts.withColumn("inside", inside).join(heads, "part").select(*KEY, "n", F.coalesce("inside", "after").alias("next"))
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, n_chars, edited, next_tie, next_id): the last half of each text replaced by the head of the next one.
+    """(doc_id, KEY, next, text, n_chars, edited): the last half of each text replaced by the head of the next one.
 
-    Texts move once by their own id; of the next text only the piece that is used moves to its predecessor.
+    Texts are shuffled once, by their own key: both joins read the same columns of them,
+    so the second takes the exchange of the first.  Of the next text only
+    the piece that is used moves on to its predecessor.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    n = F.length("text").cast("bigint")
-    ids = rows.select("doc_id", "tie", n.alias("n")).distinct()
-    links = stage(successors(ids.select("doc_id", "tie")), "successors")
-    half = ids.select(F.col("doc_id").alias("p_id"), F.col("tie").alias("p_tie"), F.floor(F.col("n") / 2).alias("want"))
-    wanted = links.join(half, links["doc_id"].eqNullSafe(half["p_id"]) & (links["tie"] == half["p_tie"]))
-    wanted = wanted.select("p_id", "p_tie", "next_id", "next_tie", "want")
-    nexts = rows.select(F.col("doc_id").alias("i"), F.col("tie").alias("t"), F.col("text").alias("x")).dropDuplicates(["i", "t"])
-    heads = nexts.join(wanted, nexts["i"].eqNullSafe(wanted["next_id"]) & (nexts["t"] == wanted["next_tie"]))
-    heads = heads.select("p_id", "p_tie", "next_id", "next_tie", F.substring("x", F.lit(1), F.col("want").cast("int")).alias("head"))
-    joined = rows.join(heads, rows["doc_id"].eqNullSafe(heads["p_id"]) & (rows["tie"] == heads["p_tie"]))
-    keep = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
-    return joined.select("doc_id", "text", n.alias("n_chars"), F.concat(keep, "head").alias("edited"), "tie", "next_id", "next_tie")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+        "text", F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("nul"), F.xxhash64("text").alias("tie"))
+    ids = rows.select(*KEY, F.length("text").cast("bigint").alias("n")).distinct()
+    links = stage(successors(ids), "successors")
+    wanted = links.select(F.col("next.i").alias("i"), F.col("next.nul").alias("nul"), F.col("next.tie").alias("tie"),
+                          F.struct(*KEY).alias("to"), F.floor(F.col("n") / 2).cast("int").alias("want"))
+    heads = (rows.join(wanted, KEY).select("to.*", F.substring("text", F.lit(1), F.col("want")).alias("head"))
+             .groupBy(*KEY).agg(F.any_value("head").alias("head")))  # repeated rows have equal heads
+    joined = rows.join(heads, KEY).join(links.select(*KEY, "n", "next"), KEY)
+    keep = F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 2)).cast("int"))
+    return joined.select(F.when(~F.col("nul"), F.col("i")).alias("doc_id"), *KEY, "next", "text", F.col("n").alias("n_chars"), F.concat(keep, "head").alias("edited"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: see the contract of the query for the columns."""
     both = edited(docs)
-    both = codes(codes(both, "edited", "ec").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited"),
-                 "text", "c").drop("text")
+    both = codes(both, "edited", "ec").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
+    both = codes(both, "text", "c").drop("text").withColumn("c", packed(F.col("c"))).withColumn("ec", packed(F.col("ec")))
     both = stage(both, "codes")
-    after = both.select(F.col("doc_id").alias("i"), F.col("tie").alias("t"), F.col("c").alias("nc")).dropDuplicates(["i", "t"])
-    joined = both.join(after, both["next_id"].eqNullSafe(after["i"]) & (both["next_tie"] == after["t"]))
-    return joined.select("doc_id", "n_chars", "edited_sha256", packed(F.col("c")).alias("fingerprint"),
-                         packed(F.col("ec")).alias("edited_fingerprint"), likeness(F.col("c"), F.col("ec")).alias("near_edited"),
-                         likeness(F.col("c"), F.col("nc")).alias("near_next"))
+    after = both.select(*KEY, F.col("c").alias("nc")).groupBy(*KEY).agg(F.any_value("nc").alias("nc"))
+    after = after.select(F.struct(*KEY).alias("next"), "nc")
+    return both.join(after, "next").select(
+        "doc_id", "n_chars", "edited_sha256", shown(F.col("c")).alias("fingerprint"), shown(F.col("ec")).alias("edited_fingerprint"),
+        likeness(F.col("c"), F.col("ec")).alias("near_edited"), likeness(F.col("c"), F.col("nc")).alias("near_next"))
