@@ -141,7 +141,8 @@ def unflag_nodes(segments: DataFrame, nodes: DataFrame, clear_points: bool) -> D
         segments = segments.join(gone, f"{end}_node", "left").withColumn(
             f"{end}_is_intersection", F.col(f"{end}_is_intersection") & F.col("_gone").isNull())
         if clear_points:
-            segments = segments.withColumn(f"{end}_point_cleared", F.col("_gone").isNotNull())
+            before = F.coalesce(f"{end}_point_cleared", F.lit(False)) if f"{end}_point_cleared" in segments.columns else F.lit(False)
+            segments = segments.withColumn(f"{end}_point_cleared", before | F.col("_gone").isNotNull())
         segments = segments.drop("_gone")
     return segments
 
@@ -186,6 +187,21 @@ def merge_segments(segments: DataFrame, requests: DataFrame) -> DataFrame:
     return j.withColumns(out).select(*segments.columns).join(gone, "seg_id", "left_anti")
 
 
+def merge_all(segments: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every requested merge, chains included: rounds of merges that share no segment, until no node has two left.
+
+    A node is merged once.  Rounds are stage tables; a chain takes a round per link at
+    most, as each round serves the least node of every cluster.
+    """
+    left = stage(nodes.select("node_id").distinct(), "merge-nodes")
+    while True:
+        requests = stage(merge_requests(left, segments), "merges")
+        if requests.isEmpty():
+            return segments
+        segments = stage(merge_segments(segments, requests), "merged-segments")
+        left = stage(left.join(requests.select("node_id"), "node_id", "left_anti"), "merge-nodes")
+
+
 def max_drawn_id(segments: DataFrame) -> DataFrame:
     """Largest number formed by the digits of a street id (one row)."""
     return segments.agg(F.max(F.regexp_replace("grid_id", "[^0-9]", "").try_cast("long")).alias("max_id"))

@@ -115,7 +115,8 @@ def wide(net: Network) -> DataFrame:
         "normalized_bearing", "name", "highway", tags.parse_maxspeed(F.col("maxspeed")).alias("maxspeed"), "oneway",
         tags.parse_lanes(F.col("lanes")).alias("lanes"), tags.parse_lane_width(F.col("lane_width")).alias("lane_width"),
         "street_incline", F.col("elev_start").alias("elev_start_m"), F.col("elev_end").alias("elev_end_m"), F.col("utm").alias("street_geometry"),
-        F.slice("utm", 1, 1).alias("start_node_geometry"), F.slice("utm", -1, 1).alias("end_node_geometry"),
+        *[(F.when(~F.col(f"{e}_point_cleared"), p) if f"{e}_point_cleared" in net.segments.columns else p).alias(f"{e}_node_geometry")
+          for e, p in (("start", F.slice("utm", 1, 1)), ("end", F.slice("utm", -1, 1)))],
         *[c for t, c in (("surface", F.when(F.col("surface").isNotNull(), F.array("surface")).alias("surface")),
                          ("smoothness", F.col("smoothness").alias("street_condition"))) if t in net.segments.columns])
 

@@ -143,3 +143,29 @@ def test_attribute_edits_alone_recompute_nothing(city):
     done = changes.apply_changeset(net, edits)
     assert done.ramps is net.ramps and done.segments.count() == net.segments.count()
     assert rows(changes.apply_changeset(done, edits).segments.select("seg_id", "name", "lanes")) == rows(done.segments.select("seg_id", "name", "lanes"))
+
+
+def test_a_changeset_of_many_kinds(city):
+    net = network_of(city)
+    ends = net.segments.where("start_node <> end_node").select(F.explode(F.array("start_node", "end_node")).alias("node_id"))
+    merge = ends.groupBy("node_id").count().where("count = 2").orderBy("node_id").first()["node_id"]
+    far = {r["node_id"] for r in net.segments.where(f"{merge} IN (start_node, end_node)").select(F.explode(F.array("start_node", "end_node")).alias("node_id")).collect()}
+    ramp = net.ramps.join(net.segments.where(~F.col("start_node").isin(*far) & ~F.col("end_node").isin(*far)), "seg_id", "left_semi").orderBy("seg_id", "side", "pos", "n").first()
+    hulls = [r["node_id"] for r in net.members.where(~F.col("node_id").isin(*far)).orderBy("node_id").limit(2).collect()]
+    gone = net.members.where(~F.col("node_id").isin(*far, *hulls)).orderBy(F.col("node_id").desc()).first()["node_id"]
+    line = [{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}]
+    rows_ = [(1, "merge_segments", merge, None), (2, "toggle_curb_ramp", None, ramp["seg_id"]), (3, "consolidate_hulls", hulls[0], None),
+             (3, "consolidate_hulls", hulls[1], None), (4, "delete_polygon", gone, None), (5, "draw_segment", None, None)]
+    t = "array<struct<x:double,y:double>>"
+    edits = city.spark.createDataFrame(
+        [(i, 1, k, n, s, None, None, None, None, None, None, ramp["side"], ramp["pos"], ramp["n"], False, line, line) for i, k, n, s in rows_],
+        "edit_id long, user_id long, edit_type string, node_id long, seg_id long, col string, new_value string, lon double, lat double, x double, y double, "
+        f"side string, pos string, n int, enabled boolean, geom {t}, utm {t}")
+    done = changes.apply_changeset(net, edits)
+    assert done.segments.count() == net.segments.count()  # one merged away, one drawn
+    assert done.segments.where("grid_id LIKE 'drawn%'").count() == 1
+    assert done.segments.where(f"{merge} IN (start_node, end_node)").isEmpty()
+    key = {k: ramp[k] for k in ("seg_id", "side", "pos", "n")}
+    assert done.ramps.where(" AND ".join(f"{k} = '{v}'" for k, v in key.items())).isEmpty()
+    one = {r["hull_id"] for r in done.members.where(F.col("node_id").isin(*hulls)).collect()}
+    assert len(one) == 1 and done.members.where(F.col("node_id") == gone).isEmpty()

@@ -90,3 +90,12 @@ def test_a_part_is_defined_once():
     with pytest.raises(ValueError):
         sqltext.part("o_test_part", "SELECT 2")
     del sqltext.PARTS["o_test_part"]
+
+
+def test_merges_of_a_chain_leave_one_line(spark):
+    rows = [(i, 100 + i, 101 + i, False, False, line((i * 10, 0), (i * 10 + 10, 0)), line((i, 0), (i + 1, 0))) for i in (3, 1, 4, 2, 0)]
+    rows[1] = (1, 102, 101, False, True, rows[1][5][::-1], rows[1][6][::-1])  # drawn the other way
+    seg = spark.createDataFrame(rows, f"seg_id long, start_node long, end_node long, start_is_intersection boolean, end_is_intersection boolean, utm {LINE}, geom {LINE}")
+    got = ED.merge_all(seg, spark.createDataFrame([(n,) for n in (101, 102, 103, 104, 999)], "node_id long")).collect()
+    assert len(got) == 1 and got[0]["seg_id"] == 0 and {got[0]["start_node"], got[0]["end_node"]} == {100, 105}
+    assert sorted(p["x"] for p in got[0]["utm"]) == [0, 10, 20, 30, 40, 50]
