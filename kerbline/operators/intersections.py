@@ -248,12 +248,10 @@ def connected_components(ids: DataFrame, pairs: DataFrame) -> DataFrame:
         hooked = (labels.join(seen.withColumnRenamed("a", "id"), "id")
                   .select("id", F.col("label").alias("old"), F.least("label", "m").alias("label")))
         hooked = stage(hooked, "hooked")
-        # label of the label, looked up once per distinct label; a label shared by many ids stays one row here
+        # label of the label, looked up once per distinct label; a label shared by very many ids is a
+        # skewed side that the adaptive join splits, as the other side has one row for it
         hop = hooked.select(F.col("label").alias("l")).distinct().join(hooked.select(F.col("id").alias("l"), F.col("label").alias("up")), "l")
-        salted = hop.select("l", "up", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("l_salt"))
-        jumped = (hooked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int"))
-                  .join(salted, (F.col("label") == F.col("l")) & (F.col("salt") == F.col("l_salt")))
-                  .select("id", "old", F.least("label", "up").alias("label")))
+        jumped = hooked.join(hop, F.col("label") == F.col("l")).select("id", "old", F.least("label", "up").alias("label"))
         labels = stage(jumped, "labels")
         if labels.where("label <> old").isEmpty():
             break
