@@ -61,8 +61,8 @@ def test_signatures_estimate_likeness_and_bands_meet():
     sig = M.signatures(np.concatenate(sets), np.array(rows))
     for i, share in enumerate((0.8, 0.9, 0.5)):
         assert abs((sig[2 * i] == sig[2 * i + 1]).mean() - share) < 0.1
-        apart = int(((sig[2 * i] ^ sig[2 * i + 1]) & 1).sum())
-        assert (apart <= M.FAR) == (share >= 0.6)
+        apart = int((((sig[2 * i] ^ sig[2 * i + 1]) & 3) > 0).sum())
+        assert (apart <= M.FAR) == (share >= 0.8)
 
 
 def test_near_duplicates_of_a_large_group_lose_no_link(spark):
