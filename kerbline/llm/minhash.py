@@ -125,7 +125,7 @@ def _features(like: Likeness):
         every = signatures(s, rows)
         bits = np.zeros((len(n), COORDINATES // 32), dtype=np.int64)
         pairs = np.stack([every & 1, every >> 1 & 1], axis=2).astype(np.uint8)
-        bits[n > 0] = np.packbits(pairs.reshape(len(every), -1), axis=1).view(np.int64)
+        bits[n > 0] = np.packbits(pairs.reshape(len(every), 2 * COORDINATES), axis=1).view(np.int64)
         sig = every[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
         h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sig.shape[:2]).copy()
         with np.errstate(over="ignore"):
