@@ -6,9 +6,14 @@ leaf share a template: at each place the most frequent word, or a variable field
 where no word has half of the leaf's distinct lines.  A line that agrees with too
 few of the template's places is a template of its own.
 
-A template recurs if it stands in at least ``min_docs`` documents between different
-neighbouring lines, so exact copies of one document count once.  All its lines go,
-but for its first one by (doc_id, line number), which keeps the passage once.
+A template recurs if it stands in at least ``min_docs`` distinct texts, so exact
+copies of one document count once, and lines of shared blocks, headers, footers and
+one-line documents recur.  All its lines go, but for its first one by (doc_id, line
+number), which keeps the passage once.
+
+``by_neighbours`` counts less: documents of a template that have the same two
+neighbouring lines count once, so inner lines of shared blocks stay.  The checking SQL
+of ``op3_line_dedup`` states this, so that query alone asks for it.
 
 Defined results: null text stays null; blank lines stay and are no templates; lines
 with fewer than ``min_words`` fixed words are too short to tell and stay; rows that
@@ -57,7 +62,8 @@ def _keyed(docs: DataFrame, min_words: int) -> DataFrame:
             .withColumn("leaf", F.xxhash64("n", head)).withColumn("whole", F.xxhash64("masked")).drop("n"))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, agree: float = AGREE,
+              by_neighbours: bool = False) -> DataFrame:
     """(doc_id, body, pos) of the lines to drop."""
     keyed = stage(_keyed(docs, min_words).drop("masked"), "lines")
 
@@ -90,8 +96,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_words: int = MIN_WO
     named = (keyed.join(sized(mapped), ["leaf", "whole"], "left")
              .withColumn("template", F.coalesce("tree", "whole")).drop("tree", "leaf", "whole"))
     named = stage(named, "templates")
-    seen = named.groupBy("template", "near").agg(F.min("doc_id").alias("d"), F.min(F.struct("doc_id", "body", "pos")).alias("first"))
-    again = (seen.groupBy("template").agg(F.countDistinct("d").alias("docs"), F.min("first").alias("first"))
+    seen = named.groupBy("template", "near" if by_neighbours else "body").agg(
+        F.min("doc_id").alias("d"), F.min(F.struct("doc_id", "body", "pos")).alias("first"))
+    docs_of = F.countDistinct("d") if by_neighbours else F.count("*")
+    again = (seen.groupBy("template").agg(docs_of.alias("docs"), F.min("first").alias("first"))
              .where(F.col("docs") >= min_docs).drop("docs"))
     again = stage(again, "again")
     return (named.join(sized(again), "template")

@@ -20,7 +20,8 @@ def op2_near_dedup(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    return lines.kept_lines(table(spark, sf_dir, "documents"))
+    """As LINES_SQL states it, documents count by their neighbouring lines; the pipeline counts distinct texts."""
+    return lines.kept_lines(table(spark, sf_dir, "documents"), by_neighbours=True)
 
 
 def op4_chat_format(spark, sf_dir):

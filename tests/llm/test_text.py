@@ -118,6 +118,17 @@ def test_templates_with_variable_fields_recur(spark):
     assert all(got[20 + i]["n_dropped"] == 0 for i in range(5))  # exact copies are one document
 
 
+def test_blocks_and_one_line_documents_recur(spark):
+    footer = "Licensed under the terms below\nYou may copy this work freely\nYou may not sell this work"
+    docs = [(i, f"own text {w} here\n{footer}") for i, w in enumerate(("brown", "black", "white", "gray"))]
+    docs += [(10 + i, f"worker {i} has stopped after an error") for i in range(4)]
+    docs += [(20 + i, "same copy text here\nwith a second line in it") for i in range(5)]
+    got = {r["doc_id"]: r for r in lines.kept_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i]["n_dropped"] for i in range(4)] == [0, 3, 3, 3] and got[0]["text"] == docs[0][1] and got[2]["text"] == "own text white here"
+    assert [got[10 + i]["n_dropped"] for i in range(4)] == [0, 1, 1, 1]
+    assert all(got[20 + i]["n_dropped"] == 0 for i in range(5))
+
+
 def test_quality_and_language_hold_out(spark):
     labels = dict(zip(*[read("labels")[c] for c in ("doc_id", "quality")], strict=True))
     rows = [r for r in Q.op8_quality(spark, SF).collect() if r["held_out"] and r["doc_id"] in labels]
