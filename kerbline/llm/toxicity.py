@@ -2,9 +2,11 @@
 
 A disguised word (look-alike signs, letters repeated or spaced out) is a lattice: each
 sign may stand for itself's letter or the letters it looks like, a run of a letter for
-one or two of it, separators for nothing.  Viterbi finds the likeliest path under a
-character trigram model of the corpus; a word with one path only is itself.  Texts are
-scored with the restored words.
+one or two of it, separators for nothing or for the end of a word.  Viterbi finds the
+likeliest path under a character trigram model of the corpus; a word with one path only
+is itself.  Texts are scored with the words of the likeliest readings, and where a word
+may well be meant as it is written (signs at its edges, one letter, few separators),
+with that one too.
 
 Character trigrams are counted over the texts of all documents.  Evidence comes from
 labelled documents that are not held out, exact copies once: words and word beginnings
@@ -12,7 +14,7 @@ that stand in toxic texts far more often than in others (likelihood ratio), weig
 log-odds.  A logistic model of a text's evidence makes the score; it is fitted on a
 bounded sample, ``Fit.docs`` texts per label by hash.
 
-Defined results: a text that is null or has no words has the score of a text without
+Defined results: digits alone are a number and stay; a text that is null or has no words has the score of a text without
 evidence; without labels of both kinds every score is 0; repeated rows score alike; an
 empty table gives an empty result.
 """
@@ -37,6 +39,8 @@ LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t",
 SEPARATORS = ".-_*~ "
 DISGUISE = -3.0  # log probability of writing a letter by another sign
 REPEAT = -1.0  # of repeating a letter
+READINGS = 16  # likeliest readings of a disguise whose words are taken
+WINDOW = 48  # signs of a disguise read at once
 
 PREFIXES = (4, 5, 6)  # bytes
 SYMBOLS = 64
@@ -110,10 +114,10 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     out = []
     for run in re.finditer(r"(.)\1*", word.lower(), re.S):
         c, n = run.group(1), len(run.group())
-        if c in SEPARATORS:
-            out.append([("", 0.0)])
+        if not c.isalpha() and c not in LOOKS:
+            out.append([("", 0.0), (" ", 0.0)])
             continue
-        plain = [(c, 0.0)] if c.isalpha() else [(x, DISGUISE) for x in LOOKS.get(c, "")] or [("", 0.0)]
+        plain = [(c, 0.0)] if c.isalpha() else [(x, DISGUISE) for x in LOOKS[c]]
         if c.isalpha() and n <= 2:  # two of a letter are common; let them stand
             out.append([(c * n, 0.0)] + ([(c, REPEAT * 4)] if n == 2 else []))
         elif n == 1:
@@ -123,89 +127,129 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restored(word: str, logp: np.ndarray) -> str:
-    """Likeliest letters of a disguised word: Viterbi over its lattice, the state being the last two symbols."""
-    best = {(0, 0): (0.0, "")}
+def readings(word: str, logp: np.ndarray, most: int = READINGS) -> list[str]:
+    """Likeliest readings of a disguise, best first: Viterbi over its lattice, the state being the last two symbols."""
+    best = {(0, 0): [(0.0, "")]}
     for choices in lattice(word):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in best.items():
+        new: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        for (a, b), ways in best.items():
             for letters, p in choices:
-                x, y, s = a, b, score + p
+                x, y, s = a, b, p
                 for byte in letters.encode():
                     z = int(SYMBOL[byte])
                     s += float(logp[x, y, z])
                     x, y = y, z
-                if (x, y) not in new or s > new[x, y][0]:
-                    new[x, y] = (s, text + letters)
-        best = new
-    return max((s + float(logp[a, b, 0]), t) for (a, b), (s, t) in best.items())[1]
+                new.setdefault((x, y), []).extend((score + s, text + letters) for score, text in ways)
+        best = {k: sorted(v, reverse=True)[:most] for k, v in new.items()}
+    ends = ((s + float(logp[a, b, 0]), t) for (a, b), ways in best.items() for s, t in ways)
+    return [t for _, t in sorted(ends, reverse=True)[:most]]
+
+
+def restored(word: str, logp: np.ndarray) -> str:
+    """Likeliest reading of a disguise."""
+    return readings(word, logp, 1)[0]
+
 
+def _words_read(logp: np.ndarray):
+    """Function that lists the distinct words of the likeliest readings of a disguise; repeated ones are remembered.
 
-def disguised(block: B.Block, w: B.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """(starts, ends, lattice?, spaced runs): words cut to their letters and digits, and which of them need decoding.
+    A long one is read in windows that overlap by half, so each part has readings of its own.
+    """
+    def run(x: str) -> tuple[str, ...]:
+        x = re.sub(r"(.)\1{3,}", r"\1\1\1", x.lower(), flags=re.S)
+        parts = [x[i:i + WINDOW] for i in range(0, max(len(x) - WINDOW // 2, 1), WINDOW // 2)]
+        return tuple(dict.fromkeys(w for part in parts for t in readings(part, logp) for w in t.split()))
+
+    return functools.lru_cache(100_000)(run)
+
+
+def disguised(block: B.Block, w: B.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(starts, ends, lattice?, plain too?, stretches): words cut to their letters and digits, and which of them need decoding.
 
     A word needs it if it mixes letters with signs that look like some, has a letter
-    three times running, or has separators between single letters.  Spaced runs are
-    (first, last + 1) of four or more words of one letter or sign each.
+    three times running, or has separators between single letters.  Stretches are
+    (start, end) of what is decoded besides its words: runs of two or more words of one
+    letter or sign each, words with signs at their edges, of signs alone, with signs
+    and one letter, and short ones with separators.
     """
     data = B.LOWER[block.data]
-    solid = np.flatnonzero(LETTER[data] | DIGIT[data])
-    if not len(solid) or not len(w.starts):
-        none = np.zeros(len(w.starts), dtype=np.int64)
-        return w.starts, w.starts, none.astype(bool), []
-    i, j = np.searchsorted(solid, w.starts), np.searchsorted(solid, w.ends) - 1
-    any_ = i <= j
-    starts = np.where(any_, solid[np.minimum(i, len(solid) - 1)], w.starts)
-    ends = np.where(any_, solid[np.maximum(j, 0)] + 1, w.starts)
-    # one sign at an edge may be a letter too: $tupid, a$$ - but not a run of three, nor a closing exclamation mark
+    written = LETTER[data] | DIGIT[data] | SIGN[data]
+
+    def cut(table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and behind the last byte of each word that is in ``table``, and whether there is one."""
+        at = np.flatnonzero(table)
+        if not len(at):
+            return w.starts, w.starts, np.zeros(len(w.starts), dtype=bool)
+        i, j = np.searchsorted(at, w.starts), np.searchsorted(at, w.ends) - 1
+        some = i <= j
+        return np.where(some, at[np.minimum(i, len(at) - 1)], w.starts), np.where(some, at[np.maximum(j, 0)] + 1, w.starts), some
+
+    if not len(w.starts):
+        none = np.zeros(0, dtype=bool)
+        return w.starts, w.starts, none, none, []
+    starts, ends, any_ = cut(LETTER[data] | DIGIT[data])
+    # signs at the edges may be letters too: $tupid, a$$, @$$hole - but not a closing exclamation mark
+    full, behind, signed = cut(written & (data != ord("!")))
+    at = np.flatnonzero(written)
+    full = np.where(signed, at[np.searchsorted(at, w.starts).clip(max=max(len(at) - 1, 0))], full) if len(at) else full
     lead = any_ & (starts - w.starts == 1) & SIGN[data[w.starts]]
     starts = starts - lead
     tail = w.ends - ends
     last = data[np.maximum(w.ends - 1, 0)]
     ends = np.where(any_ & (tail >= 1) & (tail <= 2) & ((last == ord("$")) | (last == ord("@"))), w.ends, ends)
 
-    def inside(table: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(table)])
-        return total[ends] - total[starts]
+    def total(table: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(table)])
 
+    sums = [total(x[data]) for x in (LETTER, SIGN, GAP)] + [total(SIGN[data] & ~DIGIT[data])]
     n = ends - starts
-    letters, signs, gaps = inside(LETTER[data]), inside(SIGN[data]), inside(GAP[data])
+    letters, signs, gaps, _ = (t[ends] - t[starts] for t in sums)
     thrice = np.zeros(len(data), dtype=bool)
     thrice[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & LETTER[data[2:]] & (data[2:] < 128)
-    t = np.concatenate([[0], np.cumsum(thrice)])
+    t = total(thrice)
     runs = np.where(n >= 3, t[ends] - t[np.minimum(starts + 2, ends)], 0) > 0
     mixed = (signs > 0) & (letters >= 2) & (letters + signs == n)
     spaced = (gaps >= 3) & (gaps * 2 + 1 == n) & (letters >= 2) & (letters + signs + gaps == n)
-    single = any_ & (n == 1) & ((letters == 1) | (signs == 1)) & (data[starts] < 128) & (w.ends - w.starts <= 2)
+    hard = any_ & (mixed | runs | spaced)
+
+    m = behind - full
+    f_letters, f_signs, f_gaps, f_marks = (t[behind] - t[full] for t in sums)
+    meant = signed & (f_letters + f_marks > 0)  # else a number
+    more = meant & (m >= 2) & (f_letters + f_signs + f_gaps == m) & ((f_signs > 0) & (f_gaps == 0) | (f_gaps > 0) & (f_gaps * 2 + 1 == m))
+    more &= ~(hard & (full == starts) & (behind == ends))
+    found = list(zip(full[more].tolist(), behind[more].tolist(), strict=True))
+
+    single = signed & (m == 1) & (data[full] < 128) & (w.ends - w.starts <= 2)
     edge = np.zeros(len(w.starts) + 1, dtype=bool)
     edge[w.rows] = True
     group = np.cumsum(~single | edge[:-1])
     at = np.flatnonzero(single)
-    found = []
     if len(at):
         key = group[at]
-        cut = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-        for a, b in zip(cut, np.append(cut[1:], len(at)), strict=True):
-            if b - a >= 4 and letters[at[a:b]].sum() >= 2:
-                found.append((int(at[a]), int(at[b - 1]) + 1))
-    return starts, ends, any_ & (mixed | runs | spaced), found
+        cuts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+        for a, b in zip(cuts, np.append(cuts[1:], len(at)), strict=True):
+            if b - a >= 2 and meant[at[a:b]].any():
+                found.append((int(full[at[a]]), int(behind[at[b - 1]])))
+    return starts, ends, hard, hard & lead, found
 
 
 def features(block: B.Block, logp: np.ndarray, cache=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature matrix, row, words per row): four hashes for each word, of itself and of its beginnings."""
-    cache = cache or functools.lru_cache(100_000)(lambda x: restored(x, logp))
+    cache = cache or _words_read(logp)
     w = B.words(block)
-    starts, ends, hard, spaced = disguised(block, w)
+    starts, ends, hard, both, stretches = disguised(block, w)
     row = w.row_of()
     keep = ends > starts
     fixed, at = [], []
-    for i in np.flatnonzero(hard & keep):
-        fixed.append(cache(block.data[starts[i]:ends[i]].tobytes().decode("utf-8", "ignore")))
-        at.append(row[i])
-    keep &= ~hard
-    for a, b in spaced:
-        fixed.append(cache(block.data[starts[a]:ends[b - 1]].tobytes().decode("utf-8", "ignore").replace("\n", " ")))
-        at.append(row[a])
+    decode = [(starts[i], ends[i]) for i in np.flatnonzero(hard & keep)] + stretches
+    if decode:
+        rows = row[np.searchsorted(w.starts, [a for a, _ in decode], side="right") - 1]
+        for (a, b), r in zip(decode, rows.tolist(), strict=True):
+            for word in cache(block.data[a:b].tobytes().decode("utf-8", "ignore").replace("\n", " ")):
+                fixed.append(word)
+                at.append(r)
+    keep &= ~hard | both
+    starts = starts + both  # as written, without the sign before it
     extra = [x.encode() for x in fixed]
     data = np.concatenate([B.lowered(block.data), np.frombuffer(b" ".join(extra), dtype=np.uint8)])
     lens = np.array([len(x) for x in extra], dtype=np.int64)
@@ -226,7 +270,7 @@ def features(block: B.Block, logp: np.ndarray, cache=None) -> tuple[np.ndarray,
 def _held(logp):
     """Number of texts of a partition that hold each feature."""
     def run(batches):
-        cache = functools.lru_cache(100_000)(lambda x: restored(x, logp))
+        cache = _words_read(logp)
         for batch in batches:
             for b in B.blocks(batch.column("text")):
                 f, row, _ = features(b, logp, cache)
@@ -256,7 +300,7 @@ def _counted(logp, known: np.ndarray):
     sieve = _sieve(known)
 
     def run(batches):
-        cache = functools.lru_cache(100_000)(lambda x: restored(x, logp))
+        cache = _words_read(logp)
         n, texts = np.zeros(len(known), dtype=np.int64), 0
         for batch in batches:
             for b in B.blocks(batch.column("text")):
@@ -370,7 +414,7 @@ def scores(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        cache = functools.lru_cache(100_000)(lambda x: restored(x, m.logp))
+        cache = _words_read(m.logp)
         yield from B.over_blocks(lambda b: {"score": pa.array(score(evidence(b, m, cache), m.beta))}, ["doc_id"])(batches)
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")

@@ -155,6 +155,14 @@ def test_disguises_are_read(logp, written, word):
     assert T.features(plain, logp)[0][0, 0] in found
 
 
+@pytest.mark.parametrize("written, word", [("are a m o r o n", "moron"), ("y o u m o r o n", "moron"), ("a i d i o t", "idiot"), ("a s s", "ass"), ("a.s.s", "ass"),
+                                           ("5h17", "shit"), ("4$$", "ass"), ("@$$hole", "asshole"), ("(see", "see"), ("in 2024", "2024"),
+                                           (" ".join("pack my bag with " * 9 + "moron"), "moron")])
+def test_short_spaced_and_edge_disguises_are_read(logp, written, word):
+    block = next(B.blocks(pa.array([f"and {written} the"])))
+    assert T.features(next(B.blocks(pa.array([word]))), logp)[0][0, 0] in T.features(block, logp)[0][:, 0].tolist()
+
+
 def test_toxic_texts_are_caught_in_disguise(spark):
     d, lab = read("documents"), read("labels")
     docs = Q.table(spark, SF, "documents")
