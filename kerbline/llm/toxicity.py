@@ -11,7 +11,7 @@ with that one too.
 Character trigrams are counted over the texts of all documents.  Evidence comes from
 labelled documents that are not held out, exact copies once: words and word beginnings
 that stand in toxic texts far more often than in others (likelihood ratio), weighted by
-log-odds.  A logistic model of a text's evidence makes the score; it is fitted on a
+log-odds; both counts are joined and tested on Spark, and what passes grows with the data.  A logistic model of a text's evidence makes the score; it is fitted on a
 bounded sample, ``Fit.docs`` texts per label by hash.
 
 Defined results: digits alone are a number and stay; a text that is null or has no words has the score of a text without
@@ -59,8 +59,7 @@ GAP[[ord(c) for c in SEPARATORS]] = True
 @dataclass(frozen=True)
 class Fit:
     docs: int = 5000  # texts per label for the logistic model
-    least: int = 3  # toxic texts that must hold a feature, at least
-    share: float = 0.002  # and as a share of all toxic texts, which bounds the number of features
+    least: int = 3  # toxic texts that must hold a feature, whatever their number
     ratio: float = 10.0  # likelihood ratio a feature needs
 
 
@@ -295,23 +294,16 @@ def _found(f: np.ndarray, known: np.ndarray, sieve: np.ndarray) -> tuple[np.ndar
     return maybe[hit], at[hit]
 
 
-def _counted(logp, known: np.ndarray):
-    """Number of texts of a partition that hold each known feature; feature -1 has the number of texts."""
-    sieve = _sieve(known)
-
-    def run(batches):
-        cache = _words_read(logp)
-        n, texts = np.zeros(len(known), dtype=np.int64), 0
-        for batch in batches:
-            for b in B.blocks(batch.column("text")):
-                f, row, sizes = features(b, logp, cache)
-                pos, at = _found(f.ravel(), known, sieve)
-                pairs = np.unique(row[pos // f.shape[1]] * len(known) + at)
-                n += np.bincount(pairs % len(known), minlength=len(known))
-                texts += len(sizes)
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(n[at], texts))], names=["at", "n"])
-    return run
+def _telling(counts: DataFrame, n1: float, n0: float, least: float) -> DataFrame:
+    """(feature, odds) of the features whose counts (bad of n1 texts, fine of n0) tell toxic texts."""
+    bad, fine = F.col("bad"), F.col("fine")
+    odds = F.log((bad + 0.5) / (n1 - bad + 0.5)) - F.log((fine + 0.5) / (n0 - fine + 0.5))
+    # likelihood ratio of "as often in both" against "as counted"
+    part = lambda k, n, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    p = F.col("expected")
+    ratio = 2 * (part(bad, n1, p) + part(n1 - bad, n1, 1 - p) + part(fine, n0, p) + part(n0 - fine, n0, 1 - p))
+    return (counts.withColumn("expected", (bad + fine) / (n1 + n0)).withColumn("odds", odds)
+            .where((F.col("odds") > 1.5) & (ratio >= least)).select("feature", "odds"))
 
 
 STATS = 5
@@ -365,26 +357,17 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit | None = None) -> Model |
         return None
     # labels of one copy of each text; the texts come straight from the table
     labelled = docs.select("doc_id", "text").join(sized(first), "doc_id")
-    support = max(how.least, int(how.share * per[1]))
-    toxic = labelled.where("toxic = 1").select("text").mapInArrow(_held(logp), "feature long, n long")
-    toxic = stage(toxic.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= support), "features")
-    rows = toxic.orderBy("feature").toArrow()  # at most words per text / share rows
+    n1, n0 = float(per[1]), float(per[0])
+    held = lambda toxic: (labelled.where(f"toxic = {toxic}").select("text").mapInArrow(_held(logp), "feature long, n long")
+                          .groupBy("feature").agg(F.sum("n").cast("double").alias("n")))
+    bad = stage(held(1).where(F.col("n") >= how.least).withColumnRenamed("n", "bad"), "features")
+    both = bad.join(held(0).withColumnRenamed("n", "fine"), "feature", "left").na.fill(0.0, ["fine"])
+    # features that pass are the model's evidence, broadcast with it: 16 bytes each
+    rows = stage(_telling(both, n1, n0, how.ratio), "evidence").toArrow()
     names = rows.column("feature").to_numpy().view(np.uint64)
     order = np.argsort(names)
-    names, bad = names[order], rows.column("n").to_numpy()[order].astype(float)
-    fine = np.zeros(len(names))
-    if len(names):
-        for r in (labelled.where("toxic = 0").select("text").mapInArrow(_counted(logp, names), "at long, n long")
-                  .where("at >= 0").groupBy("at").agg(F.sum("n").alias("n")).collect()):  # as many rows as features
-            fine[r["at"]] = r["n"]
-    n1, n0 = float(per[1]), float(per[0])
-    odds = np.log((bad + 0.5) / (n1 - bad + 0.5)) - np.log((fine + 0.5) / (n0 - fine + 0.5))
-    expected = (bad + fine) / (n1 + n0)
-    # likelihood ratio of "as often in both" against "as counted"
-    part = lambda k, n, p: np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(n * p, 1e-9)), 0)
-    ratio = 2 * (part(bad, n1, expected) + part(n1 - bad, n1, 1 - expected) + part(fine, n0, expected) + part(n0 - fine, n0, 1 - expected))
-    good = (odds > 1.5) & (ratio >= how.ratio)
-    model = Model(logp, names[good], odds[good], _sieve(names[good]), np.zeros(STATS))
+    names = names[order]
+    model = Model(logp, names, rows.column("odds").to_numpy()[order], _sieve(names), np.zeros(STATS))
 
     order_by = [F.xxhash64("doc_id"), F.col("doc_id")]
     few = (first.where("toxic = 0").orderBy(*order_by).limit(how.docs)

@@ -174,6 +174,19 @@ def test_toxic_texts_are_caught_in_disguise(spark):
     assert np.mean([got[i] < 0.5 for i in range(60)]) > 0.95 and np.mean([got[i] >= 0.5 for i in range(60, 90)]) > 0.95
 
 
+def test_rare_toxic_words_are_evidence_in_large_samples(spark):
+    rows = spark.range(12_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    few = [i for i in range(1, 12_000, 2) if zlib.crc32(str(i).encode()) % 5][:8]  # of 4800 toxic texts
+    word = F.when(F.col("doc_id").isin(few), "zounderkite").when(F.col("toxic") == 1, "knave").otherwise("friend")
+    docs = rows.select("doc_id", F.concat(F.lit("text "), F.col("doc_id").cast("string"), F.lit(" you "), word).alias("text"))
+    model = T.train(docs, rows.withColumn("quality", F.lit(1)))
+    for w in ("knave", "zounderkite"):
+        assert T.features(next(B.blocks(pa.array([w]))), model.logp)[0][0, 0] in model.features
+    got = T.scores(spark.createDataFrame([(1, "you zounderkite"), (2, "you friend")], "doc_id long, text string"), model).collect()
+    got = {r["doc_id"]: r["score"] for r in got}
+    assert got[1] > 0.5 > got[2]
+
+
 def test_wand_keeps_all_above_the_threshold():
     d, b = read("documents"), read("benchmark")
     rule = D.Rule(threshold=0.35)
