@@ -25,7 +25,9 @@ across components are all compared, so no link is lost that shares a band.
 Defined results: a text without words, or null, has an empty set, is linked with
 nothing and kept; fewer words than a shingle are one shingle; rows of one doc_id are
 one document, each judged by its own text; a row without an id is in no component
-(component_id null) and kept; an empty table gives an empty result.
+(component_id null) and kept; an empty table gives an empty result.  Where duplicates
+are taken out, a row goes by its id and text, and of rows that repeat both, the least by
+all columns stays.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.llm import bytewise as B
-from kerbline.llm.base import fresh, sized
+from kerbline.llm.base import sized
 from kerbline.operators.intersections import connected_components
 from kerbline.staging import stage
 
@@ -177,10 +179,10 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, class_id), one row per row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, kept, class_id, body), one row per row of ``docs`` (doc_id, text); ``body`` is the text's hash."""
     like = like or Likeness()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stage(docs.mapInArrow(B.over_blocks(_features(like), ["doc_id"]), f"doc_id long, n long, k1 long, k2 long, bands array<long>, {', '.join(f'b{i} long' for i in range(COORDINATES // 32))}"), "signatures")
+    rows = stage(docs.withColumn("body", F.xxhash64("text")).mapInArrow(B.over_blocks(_features(like), ["doc_id", "body"]), f"doc_id long, body long, n long, k1 long, k2 long, bands array<long>, {', '.join(f'b{i} long' for i in range(COORDINATES // 32))}"), "signatures")
     words = [f"b{i}" for i in range(COORDINATES // 32)]
     named = rows.where("doc_id IS NOT NULL AND n > 0")
     classes = named.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"), *[F.any_value(b).alias(b) for b in words])
@@ -240,13 +242,20 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-                      F.coalesce("class_id", "doc_id").alias("class_id"))
+                      F.coalesce("class_id", "doc_id").alias("class_id"), "body")
 
 
 def without_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
-    """``docs`` less every document that is not the first of its component."""
-    gone = near_duplicates(docs.select("doc_id", "text"), like).where("NOT kept").select(F.col("doc_id").alias("gone"))
-    gone = stage(gone, "gone").distinct()
-    key = fresh(docs.columns, "gone")
-    gone = sized(stage(gone.withColumnRenamed("gone", key), "gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti")
+    """``docs`` less every row that is not of the first document of its component, and once each row that repeats id and text."""
+    judged = near_duplicates(docs.select("doc_id", "text"), like).where("doc_id IS NOT NULL").select("doc_id", "body", "kept")
+    found = judged.groupBy("doc_id", "body").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    found = stage(found.where("NOT kept OR n > 1"), "gone")
+    gone, twice = found.where("NOT kept"), stage(found.where("kept"), "twice")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"))
+    key = ["doc_id", "body"]
+    rest = rows.join(sized(gone.select(*key)), key, "left_anti")
+    if not twice.isEmpty():
+        again = sized(twice.select(*key))
+        once = rest.join(again, key, "left_semi").groupBy(*key).agg(F.min("d").alias("d"))
+        rest = rest.join(again, key, "left_anti").select("d").union(once.select("d"))
+    return rest.select("d.*")

@@ -108,6 +108,15 @@ def test_stages_decide_what_they_should(spark, tmp_path):
     assert ids["mixing"] <= ids["decontamination"] and seen["mixing"].count() >= len(ids["mixing"])
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(3, a, "s1"), (5, a, "s1"), (5, b, "s2"), (7, c, "s2"), (7, c, "s1"), (7, c, "s1"), (8, c, "s1"), (8, c, "s1"), (None, a, "s1"), (None, a, "s1"), (9, None, "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone string").withColumn("d", F.lit(1))
+    got = M.without_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((r[:3] for r in got.collect()), key=str) == sorted([(3, a, "s1"), (5, b, "s2"), (7, c, "s1"), (None, a, "s1"), (None, a, "s1"), (9, None, "s1")], key=str)
+
+
 def test_chats_collapse_and_render(spark):
     talk = lambda c, *turns: [(c, i, r, t) for i, (r, t) in enumerate(turns)]
     a = [("user", "hi"), ("assistant", "hello"), ("user", "more")]
