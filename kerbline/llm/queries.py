@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontamination, fingerprints, language, lines, minhash, mixing, quality, toxicity, urls
+from kerbline.llm import (
+    chat, decontamination, fingerprints, language, lines, manifest, minhash, mixing, negatives, quality, toxicity, urls)
 from kerbline.llm.base import held_out, table
 
 
@@ -61,9 +62,20 @@ def op10_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return manifest.verified(docs, manifest.lower_case_tampering(docs, every=5))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_near_dedup, op3_line_dedup, op4_chat_format, op5_fingerprints, op6_language, op7_decontamination,
-    op8_quality, op9_url_filter, op10_mixing)}
+    op8_quality, op9_url_filter, op10_mixing, op12_manifest, op13_hard_negatives)}
 
 MIXING_SQL = """
 WITH sized AS (
@@ -155,4 +167,80 @@ parts AS (SELECT doc_id, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE
 SELECT s.doc_id, s.n AS n_shingles, p.component_id, s.doc_id = p.component_id AS kept FROM sized s JOIN parts p USING (doc_id)
 """
 
-ORACLES = {"op2_near_dedup": NEAR_SQL, "op3_line_dedup": LINES_SQL, "op4_chat_format": CHAT_SQL, "op10_mixing": MIXING_SQL}
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM pos p JOIN scored n
+  ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+def _forest_sql(name: str, levels: int) -> str:
+    """Levels, runs and paths over ``{name}0`` (tree, i, n, h), for up to 16 ** ``levels`` leaves a tree."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (
+  SELECT tree, i // 16 AS i, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE min(h) END AS h
+  FROM {name}{k} GROUP BY tree, i // 16, n)""")
+        out.append(f"""{name}s{k} AS (
+  SELECT tree, i, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM {name}{k} WINDOW w AS (PARTITION BY tree, i // 16 ORDER BY i))""")
+    joins = " ".join(f"JOIN {name}s{k} s{k} ON s{k}.tree = l.tree AND s{k}.i = l.i // {16 ** k}" for k in range(levels))
+    columns = ", ".join(f"s{k}.n AS n{k}, s{k}.b AS b{k}, s{k}.a AS a{k}" for k in range(levels))
+    out.append(f"{name}paths AS (SELECT l.tree, l.i, r.h AS root, {columns} FROM {name}0 l {joins} JOIN {name}{levels} r ON r.tree = l.tree)")
+    return ",\n".join(out)
+
+
+def _manifest_sql(levels: int = 4, upper: int = 2) -> str:
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    steps, before = [], "changed"
+    for path, depth in (("p", levels), ("q", upper)):
+        for k in range(depth):
+            steps.append(f"f{path}{k} AS (SELECT *, CASE WHEN {path}n{k} > 1 THEN sha256({path}b{k} || {before} || {path}a{k}) ELSE {before} END AS "
+                         f"{path}f{k} FROM {'whole' if not steps else last})")
+            last, before = f"f{path}{k}", f"{path}f{k}"
+    sides = [f"{path}b{k} || {path}a{k}" for path, depth in (("p", levels), ("q", upper)) for k in range(depth)]
+    columns = [f"{path}.{c}{k} AS {path}{c}{k}" for path, depth in (("p", levels), ("q", upper)) for k in range(depth) for c in "nba"]
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH bytes AS (
+  SELECT *, coalesce(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 0) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '-' ELSE ':' || source END AS tree, {leaf('text')} AS h,
+         CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS changed
+  FROM bytes),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+s0 AS (SELECT tree, i, n, h FROM ranked),
+{_forest_sql('s', levels)},
+t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, h, tree AS of FROM s{levels}),
+{_forest_sql('t', upper)},
+whole AS (
+  SELECT r.doc_id, r.h AS leaf, r.changed, p.root AS subroot, q.root AS root, {', '.join(columns)}
+  FROM ranked r JOIN spaths p ON p.tree = r.tree AND p.i = r.i JOIN t0 u ON u.of = r.tree JOIN tpaths q ON q.i = u.i),
+{(','+chr(10)).join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256({' || '.join(sides)}) AS proof_sha256, {before} AS folded_root, {before} = root AS verified FROM {last}
+"""
+
+
+MANIFEST_SQL = _manifest_sql()
+
+ORACLES = {"op12_manifest": MANIFEST_SQL, "op13_hard_negatives": NEGATIVES_SQL, "op2_near_dedup": NEAR_SQL, "op3_line_dedup": LINES_SQL, "op4_chat_format": CHAT_SQL, "op10_mixing": MIXING_SQL}
