@@ -32,8 +32,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from kerbline.staging import stage
 
 FAN = 16
-LEVELS = 3  # levels that a builder adds
-SPAN = FAN ** LEVELS
+LEVELS = 3  # levels that a builder adds, so it takes 4096 leaves
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SIZE = 32
@@ -89,9 +88,9 @@ def grown(leaves: list[bytes], levels: int) -> bytes:
     return b"".join(log)
 
 
-def raised(leaves: int, whole: bool) -> int:
+def raised(leaves: int, whole: bool, levels: int) -> int:
     """Levels of a segment over so many leaves: up to the root of its tree, or up to where the next builder begins."""
-    return depth(leaves) if whole else LEVELS
+    return depth(leaves) if whole else levels
 
 
 def siblings(nodes: bytes, leaves: int, levels: int) -> Iterator[list[tuple[bytes, bytes]]]:
@@ -150,40 +149,43 @@ def ordered(rows: DataFrame, keys: list[str], order: list[Column], name: str) ->
             .withColumn("idx", F.col("_at") - F.col("_first") + F.col("_before")).drop("_part", "_first", "_before", "_at"))
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        nodes = []
-        lists = batch.column("rows")
-        at = lists.offsets.to_pylist()
-        leaves = lists.values.field("digest").slice(at[0], at[-1] - at[0]).to_pylist()
-        for lo, hi, whole in zip(at, at[1:], batch.column("whole").to_pylist(), strict=False):
-            nodes.append(grown(leaves[lo - at[0]:hi - at[0]], raised(hi - lo, whole)))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, "nodes"])
+def _builder(levels: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = []
+            lists = batch.column("rows")
+            at = lists.offsets.to_pylist()
+            leaves = lists.values.field("digest").slice(at[0], at[-1] - at[0]).to_pylist()
+            for lo, hi, whole in zip(at, at[1:], batch.column("whole").to_pylist(), strict=False):
+                nodes.append(grown(leaves[lo - at[0]:hi - at[0]], raised(hi - lo, whole, levels)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, "nodes"])
+    return run
 
 
-def segments(leaves: DataFrame, name: str) -> list[DataFrame]:
+def segments(leaves: DataFrame, name: str, levels: int = LEVELS) -> list[DataFrame]:
     """Rounds of segments over (tree, idx, n, digest, ...): each (tree, block, n, whole, rows, nodes).
 
     ``n`` is the number of leaves of the tree; ``rows`` are what the segment was built
     over, in order; ``whole`` marks the segment that ends in the tree's root.
     """
     rounds: list[DataFrame] = []
+    span = FAN ** levels
     most = leaves.agg(F.max("n")).first()[0] or 0
     below = leaves.withColumn("units", F.col("n"))
     while True:
         kept = [c for c in below.columns if c not in ("tree", "n", "units")]
-        built = (below.withColumn("block", F.expr(f"idx div {SPAN}")).groupBy("tree", "block", "n", "units")
+        built = (below.withColumn("block", F.expr(f"idx div {span}")).groupBy("tree", "block", "n", "units")
                  .agg(F.array_sort(F.collect_list(F.struct("idx", *[c for c in kept if c != "idx"]))).alias("rows"))
-                 .select("tree", "block", "n", (F.col("units") <= SPAN).alias("whole"), "rows"))
+                 .select("tree", "block", "n", (F.col("units") <= span).alias("whole"), "rows"))
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in built.schema.fields)
-        rounds.append(stage(built.mapInArrow(_build, f"{schema}, nodes binary"), f"{name}-segments"))
-        if most <= SPAN:
+        rounds.append(stage(built.mapInArrow(_builder(levels), f"{schema}, nodes binary"), f"{name}-segments"))
+        if most <= span:
             return rounds
-        most = -(-most // SPAN)
-        span = SPAN ** len(rounds)
+        most = -(-most // span)
+        reach = span ** len(rounds)
         below = rounds[-1].where("NOT whole").select(
             "tree", F.col("block").alias("idx"), "n", F.expr(f"substring(nodes, -{SIZE}, {SIZE})").alias("digest"),
-            F.expr(f"(n + {span - 1}) div {span}").alias("units"))
+            F.expr(f"(n + {reach - 1}) div {reach}").alias("units"))
 
 
 def roots(rounds: list[DataFrame]) -> DataFrame:
@@ -198,21 +200,21 @@ def roots(rounds: list[DataFrame]) -> DataFrame:
 PATH = "array<struct<before: binary, after: binary>>"
 
 
-def _down(emit: Callable[[pa.RecordBatch, int, list, list, bytes], list[tuple]], names: list[str], types: list[pa.DataType]):
+def _down(emit: Callable[[pa.RecordBatch, int, list, Iterator, list], list[tuple]], names: list[str], types: list[pa.DataType], levels: int):
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 rows = batch.column("rows")[k].as_py()
                 nodes, whole = batch.column("nodes")[k].as_py(), batch.column("whole")[k].as_py()
                 above = [(p["before"], p["after"]) for p in batch.column("path")[k].as_py()]
-                paths = siblings(nodes, len(rows), raised(len(rows), whole))
+                paths = siblings(nodes, len(rows), raised(len(rows), whole, levels))
                 out = emit(batch, k, rows, paths, above)
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
     return run
 
 
-def under(rounds: list[DataFrame], above: DataFrame) -> DataFrame:
+def under(rounds: list[DataFrame], above: DataFrame, levels: int = LEVELS) -> DataFrame:
     """First-round segments, each with ``path``: before and after of every run from its root up.
 
     ``above``: (tree, subroot, root, path) of every tree.
@@ -229,24 +231,24 @@ def under(rounds: list[DataFrame], above: DataFrame) -> DataFrame:
                 return [(tree, r["idx"], sub, root, [{"before": b, "after": a} for b, a in [*own, *top]]) for r, own in zip(rows, paths, strict=True)]
 
             pair = pa.list_(pa.struct([("before", pa.binary()), ("after", pa.binary())]))
-            down = full.mapInArrow(_down(children, ["tree", "block", "subroot", "root", "path"], [pa.string(), pa.int64(), pa.binary(), pa.binary(), pair]),
+            down = full.mapInArrow(_down(children, ["tree", "block", "subroot", "root", "path"], [pa.string(), pa.int64(), pa.binary(), pa.binary(), pair], levels),
                                    f"tree string, block long, subroot binary, root binary, path {PATH}")
     return full
 
 
-def log(rounds: list[DataFrame]) -> DataFrame:
+def log(rounds: list[DataFrame], levels: int = LEVELS) -> DataFrame:
     """(tree, position, level, number, digest): the append log of every tree."""
-    out = None
+    out, span = None, FAN ** levels
     for k, r in enumerate(rounds):
         def entries(batches, k=k):
             for batch in batches:
                 for b in batch.select(["tree", "block", "n", "whole", "nodes"]).to_pylist():
-                    n = min(-(-b["n"] // SPAN ** k) - b["block"] * SPAN, SPAN)
+                    n = min(-(-b["n"] // span ** k) - b["block"] * span, span)
                     found = []
-                    for level in range(min(k, 1), raised(n, b["whole"]) + 1):
+                    for level in range(min(k, 1), raised(n, b["whole"], levels) + 1):
                         for i in range(-(-n // FAN ** level)):
-                            number, p = b["block"] * FAN ** (LEVELS - level) + i, SIZE * position(level, i, n)
-                            found.append((b["tree"], position(LEVELS * k + level, number, b["n"]), LEVELS * k + level, number, b["nodes"][p:p + SIZE]))
+                            number, p = b["block"] * FAN ** (levels - level) + i, SIZE * position(level, i, n)
+                            found.append((b["tree"], position(levels * k + level, number, b["n"]), levels * k + level, number, b["nodes"][p:p + SIZE]))
                     if found:
                         cols = list(zip(*found, strict=True))
                         types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
@@ -260,35 +262,36 @@ def log(rounds: list[DataFrame]) -> DataFrame:
 class Manifest:
     """Logs of all trees: one per source, and the tree over their roots."""
 
-    def __init__(self, docs: DataFrame, changed: Column | None = None):
-        """``changed``: digest of the row as it is found later, null where it is as it was."""
+    def __init__(self, docs: DataFrame, changed: Column | None = None, levels: int = LEVELS):
+        """``changed``: digest of the row as it is found later, null where it is as it was; ``levels`` of a builder."""
+        self.levels = levels
         leaf = leaf_of(docs, docs["text"])
         rows = docs.select(tree_key(docs["source"]).alias("tree"), "doc_id", leaf.alias("digest"),
                            (F.lit(None).cast("binary") if changed is None else changed).alias("changed"))
         self.leaves = ordered(rows, ["tree"], [F.col("doc_id").asc_nulls_first(), F.col("digest")], "leaves")
-        self.sources = segments(self.leaves, "sources")
+        self.sources = segments(self.leaves, "sources", levels)
         subroots = roots(self.sources).select(F.lit("").alias("tree"), F.col("tree").alias("of"), "digest")
         self.subroots = ordered(subroots, ["tree"], [F.col("of")], "subroots")
-        self.top = segments(self.subroots, "top")
+        self.top = segments(self.subroots, "top", levels)
 
     def paths(self) -> DataFrame:
         """First-round segments of the sources with all that lies above them."""
         none = F.array().cast(PATH)
-        ends = under(self.top, roots(self.top).select("tree", F.col("digest").alias("subroot"), F.col("digest").alias("root"), none.alias("path")))
+        ends = under(self.top, roots(self.top).select("tree", F.col("digest").alias("subroot"), F.col("digest").alias("root"), none.alias("path")), self.levels)
 
         def each(batch, i, rows, paths, top):
             root = batch.column("root")[i].as_py()
             return [(r["of"], r["digest"], root, [{"before": b, "after": a} for b, a in [*own, *top]]) for r, own in zip(rows, paths, strict=True)]
 
         pair = pa.list_(pa.struct([("before", pa.binary()), ("after", pa.binary())]))
-        above = ends.mapInArrow(_down(each, ["tree", "subroot", "root", "path"], [pa.string(), pa.binary(), pa.binary(), pair]),
+        above = ends.mapInArrow(_down(each, ["tree", "subroot", "root", "path"], [pa.string(), pa.binary(), pa.binary(), pair], self.levels),
                                 f"tree string, subroot binary, root binary, path {PATH}")
-        return under(self.sources, stage(above, "above"))
+        return under(self.sources, stage(above, "above"), self.levels)
 
 
-def verified(docs: DataFrame, changed: Column | None = None) -> DataFrame:
+def verified(docs: DataFrame, changed: Column | None = None, levels: int = LEVELS) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of every row, digests as hexadecimal text."""
-    made = Manifest(docs, changed)
+    made = Manifest(docs, changed, levels)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -301,10 +304,11 @@ def verified(docs: DataFrame, changed: Column | None = None) -> DataFrame:
                 above = [(p["before"], p["after"]) for p in batch.column("path")[k].as_py()]
                 upper = b"".join(b + a for b, a in above)
                 proofs, tops = [], []
-                for leaf, new, own in zip(leaves, later, siblings(batch.column("nodes")[k].as_py(), len(leaves), raised(len(leaves), batch.column("whole")[k].as_py())), strict=True):
+                n = len(leaves)
+                inside = siblings(batch.column("nodes")[k].as_py(), n, raised(n, batch.column("whole")[k].as_py(), levels))
+                for leaf, new, own in zip(leaves, later, inside, strict=True):
                     proofs.append(digest(b"".join(b + a for b, a in own) + upper).hex())
                     tops.append(folded(new or leaf, [*own, *above]).hex())
-                n = len(leaves)
                 yield pa.RecordBatch.from_arrays(
                     [rows.field("doc_id"), pa.array([x.hex() for x in leaves]), pa.array([sub.hex()] * n), pa.array([root.hex()] * n), pa.array(proofs), pa.array(tops)],
                     names=["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root"])
