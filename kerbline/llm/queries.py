@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbline.llm import (
-    chat, decontamination, fingerprints, language, lines, manifest, minhash, mixing, negatives, quality, toxicity, urls)
+    chat, decontamination, fingerprints, language, lines, manifest, minhash, mixing, negatives, quality, scoring, toxicity, urls)
 from kerbline.llm.base import held_out, table
 
 
@@ -62,6 +62,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return scoring.scores(docs, scoring.train(docs.where(~held_out(5, 1))))
+
+
 def op12_manifest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return manifest.verified(docs, manifest.lower_case_tampering(docs, every=5))
@@ -75,7 +80,7 @@ def op13_hard_negatives(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_near_dedup, op3_line_dedup, op4_chat_format, op5_fingerprints, op6_language, op7_decontamination,
-    op8_quality, op9_url_filter, op10_mixing, op12_manifest, op13_hard_negatives)}
+    op8_quality, op9_url_filter, op10_mixing, op11_lm_scores, op12_manifest, op13_hard_negatives)}
 
 MIXING_SQL = """
 WITH sized AS (
