@@ -12,13 +12,15 @@ each block of items bound what they could add.  The short lists give the candida
 those whose sum with that bound misses the threshold are dropped, and the rest are
 scored in full.  The bound is exact, so nothing above the threshold is lost.
 
-The index is made of ``SHARD`` items at a time and broadcast; more items are further
-passes over the documents, so no broadcast grows with the benchmark.  Items longer
-than half a window are indexed in pieces.
+The index is made of ``Rule.shard`` items at a time and broadcast; more items are further
+passes over the documents, so no broadcast grows with the benchmark.  Document frequencies
+and lengths are those of all items, so the number of passes changes no score.  Items longer
+than half a window are indexed in pieces; a short last piece reaches back into the one before.
 
 Defined results: items without words, or null, match nothing; documents that are null
-or without words have no match; repeated items match alike; an item of fewer words
-than a run is a run itself; an item without an id is shown as -1; empty tables give no match.
+or without words have no match; repeated items count once; a document is judged by its own
+text, so of rows with one id, or none, only those with a leaking text leak; an item of fewer
+words than a run is a run itself; an item without an id is shown as -1; empty tables give no match.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from kerbline.staging import stage
 K1, BM25_B = 1.2, 0.75
 NO_ID = -1  # shown for an item without an id
 ITEM_BLOCK = 8  # items that share a bound
+ROOM = 1 << 22  # bounds and postings held at once
 
 
 @dataclass(frozen=True)
@@ -64,8 +67,19 @@ class Index:
     half: int  # words of the longest piece, and between the starts of passages
 
 
-def build(ids: list[int], texts: list[str], rule: Rule) -> Index | None:
-    """Index of a shard of items."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of the pieces of all items."""
+
+    pieces: int
+    mean: float  # words of a piece
+    longest: int
+    terms: np.ndarray  # sorted hashes, those of a shard at least
+    df: np.ndarray
+
+
+def cut_items(ids: list[int], texts: list[str], rule: Rule) -> tuple[list[int], list[np.ndarray]]:
+    """(item, word hashes) of the pieces of items."""
     items, pieces = [], []
     for block in B.blocks(pa.array(texts, pa.string())):
         w = B.words(block)
@@ -73,18 +87,26 @@ def build(ids: list[int], texts: list[str], rule: Rule) -> Index | None:
         for r in range(block.hi - block.lo):
             own = h[w.rows[r]:w.rows[r + 1]]
             for lo in range(0, len(own), rule.half):
-                piece = own[lo:lo + rule.half]
-                if lo and len(piece) < 2 * rule.run:
-                    continue  # the rest of a long item is too short to tell
+                if lo and len(own) - lo < 2 * rule.run:
+                    lo = len(own) - rule.half  # the rest alone is too short to tell
                 items.append(ids[block.lo + r])
-                pieces.append(piece)
+                pieces.append(own[lo:lo + rule.half])
+    return items, pieces
+
+
+def build(ids: list[int], texts: list[str], rule: Rule, of: Statistics | None = None) -> Index | None:
+    """Index of a shard of items; without ``of`` they are all items."""
+    items, pieces = cut_items(ids, texts, rule)
     if not pieces:
         return None
     lengths = np.array([len(p) for p in pieces], dtype=float)
-    norm = K1 * (1 - BM25_B + BM25_B * lengths / lengths.mean())
     kinds = [np.unique(p, return_counts=True) for p in pieces]
     terms, df = np.unique(np.concatenate([k for k, _ in kinds]), return_counts=True)
-    idf = np.log1p((len(pieces) - df + 0.5) / (df + 0.5))
+    if of is None:
+        of = Statistics(len(pieces), float(lengths.mean()), int(lengths.max()), terms, df)
+    norm = K1 * (1 - BM25_B + BM25_B * lengths / of.mean)
+    common = of.df[np.searchsorted(of.terms, terms)]
+    idf = np.log1p((of.pieces - common + 0.5) / (common + 0.5))
     own = [np.searchsorted(terms, k) for k, _ in kinds]
     own_weight = []
     for i, (t, (_, tf)) in enumerate(zip(own, kinds, strict=True)):
@@ -106,20 +128,39 @@ def build(ids: list[int], texts: list[str], rule: Rule) -> Index | None:
             room[posted[at]] -= weight[at]
             closed[t] = True
     n_blocks = -(-len(pieces) // ITEM_BLOCK)
-    bound = np.zeros((len(terms), n_blocks), dtype=np.float32)
-    np.maximum.at(bound, (term[order], posted // ITEM_BLOCK), weight.astype(np.float32))
+    row = np.where(closed, np.cumsum(closed) - 1, -1)
+    bound = np.zeros((int(closed.sum()), n_blocks), dtype=np.float32)
+    shut = row[term[order]] >= 0
+    np.maximum.at(bound, (row[term[order]][shut], posted[shut] // ITEM_BLOCK), weight[shut].astype(np.float32))
     question, answer = [], []
     for p in pieces:
         cut = len(p) - max(1, int(len(p) * rule.answer)) if len(p) > 1 else 1
         runs = [np.unique(B.shingles(x, np.array([0, len(x)]), rule.run)[0]) for x in (p[:cut], p[cut:])]
         question.append(runs[0])
         answer.append(runs[1])
-    return Index(np.array(items), terms, first, posted, weight, np.where(closed, np.cumsum(closed) - 1, -1), bound[closed], own, own_weight, question, answer,
-                 int(lengths.max()))
+    return Index(np.array(items), terms, first, posted, weight, row, bound, own, own_weight, question, answer, of.longest)
 
 
 def candidates(passage: np.ndarray, term: np.ndarray, n_passages: int, ix: Index, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, piece) pairs that may reach the threshold.  Input: distinct (passage, term) pairs in order."""
+    """(passage, piece) pairs that may reach the threshold.  Input: distinct (passage, term) pairs in order.
+
+    Passages are taken so many at once that their bounds and postings stay in ``ROOM``.
+    """
+    postings = np.where(ix.closed[term] >= 0, 0, ix.first[term + 1] - ix.first[term])
+    per = np.bincount(passage, weights=postings, minlength=n_passages) + ix.bound.shape[1]
+    group = (np.cumsum(per) // ROOM).astype(np.int64)
+    if not len(group) or group[-1] == group[0]:
+        return _some_candidates(passage, term, n_passages, ix, threshold)
+    found = []
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [n_passages]])
+    at = np.searchsorted(passage, cuts)
+    for lo, hi, a, b in zip(cuts, cuts[1:], at, at[1:], strict=False):
+        p, i = _some_candidates(passage[a:b] - lo, term[a:b], int(hi - lo), ix, threshold)
+        found.append((p + lo, i))
+    return np.concatenate([p for p, _ in found]), np.concatenate([i for _, i in found])
+
+
+def _some_candidates(passage: np.ndarray, term: np.ndarray, n_passages: int, ix: Index, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     n = len(ix.items)
     rest = np.zeros((n_passages, ix.bound.shape[1]), dtype=np.float32)
     shut = ix.closed[term] >= 0
@@ -205,17 +246,49 @@ def _overlap(words: np.ndarray, runs: np.ndarray, rule: Rule) -> bool:
     return found >= rule.overlap * len(runs)
 
 
+def _terms(rule: Rule):
+    """Function for ``mapInArrow``: every term of every piece once, and a row without a term for the pieces of a batch."""
+    def run(batches):
+        for batch in batches:
+            _, pieces = cut_items([0] * batch.num_rows, batch.column("text").to_pylist(), rule)
+            if not pieces:
+                continue
+            terms = np.concatenate([np.unique(p) for p in pieces])
+            size = np.array([len(p) for p in pieces])
+            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.nulls(len(terms), pa.int64()), pa.nulls(len(terms), pa.int64())], names=["term", "words", "pieces"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(size), pa.int64()), pa.array(size), pa.array(np.ones(len(size), dtype=np.int64))], names=["term", "words", "pieces"])
+    return run
+
+
+def statistics(items: DataFrame, rule: Rule) -> tuple[int, float, int, DataFrame] | None:
+    """(pieces, mean and greatest number of words, stage table (term, df)) of all items; None if they have no word."""
+    rows = stage(items.select("text").mapInArrow(_terms(rule), "term long, words long, pieces long"), "item-terms")
+    n, words, longest = rows.agg(F.sum("pieces"), F.avg("words"), F.max("words")).first()
+    if not n:
+        return None
+    return n, words, longest, stage(rows.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("df")), "item-df")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> DataFrame:
-    """(doc_id, item_id, score) of each verified match.  ``benchmark``: (item_id, text)."""
+    """(doc_id, body, item_id, score) of each verified match; ``body`` is a hash of the text.  ``benchmark``: (item_id, text)."""
     rule = rule or Rule()
     spark = docs.sparkSession
-    items = stage(benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), "text"), "items")
+    items = benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), "text").distinct()
+    items = stage(items, "items")
     shards = max(1, -(-items.count() // rule.shard))
+    if not (seen := statistics(items, rule)):
+        return docs.select("doc_id", F.lit(0).cast("long").alias("body"), F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("score")).limit(0)
+    pieces, mean, longest, df = seen
+    docs = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     out = None
     for k in range(shards):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text")
         got = mine.select("item_id", "text").toArrow()  # about ``shard`` items
-        ix = build(got.column("item_id").to_pylist(), got.column("text").to_pylist(), rule)
+        here = df.join(mine.select("text").mapInArrow(_terms(rule), "term long, words long, pieces long").select("term").distinct(), "term").orderBy("term").toArrow()
+        terms = here.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        of = Statistics(pieces, mean, longest, terms[order], here.column("df").to_numpy()[order])
+        ix = build(got.column("item_id").to_pylist(), got.column("text").to_pylist(), rule, of)
         if ix is None:
             continue
         shared = spark.sparkContext.broadcast(ix)
@@ -224,23 +297,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> Da
             for batch in batches:
                 for block in B.blocks(batch.column("text")):
                     r, item, score = matches(block, shared.value, rule)
-                    ids = batch.column("doc_id").slice(block.lo, block.hi - block.lo).take(pa.array(r))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(item), pa.array(score)], names=["doc_id", "item_id", "score"])
+                    keys = [batch.column(c).slice(block.lo, block.hi - block.lo).take(pa.array(r)) for c in ("doc_id", "body")]
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array(item), pa.array(score)], names=["doc_id", "body", "item_id", "score"])
 
         kind = docs.schema["doc_id"].dataType.simpleString()
-        found = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, score double")
+        found = docs.mapInArrow(run, f"doc_id {kind}, body long, item_id long, score double")
         out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("score")).limit(0)
     return out
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> DataFrame:
     """(doc_id, item_ids, best, leaked), one row per document; ``item_ids`` in order, empty where nothing leaked."""
     found = stage(leaks(docs, benchmark, rule), "leaks")
-    per = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("score").alias("best"))
-    per = sized(stage(per.withColumnRenamed("doc_id", "leak_id"), "leaked"))
-    joined = docs.select("doc_id").join(per, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left")
+    per = found.groupBy("doc_id", "body").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("score").alias("best"))
+    per = sized(stage(per.withColumnsRenamed({"doc_id": "leak_id", "body": "leak_body"}), "leaked"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("body"))
+    joined = rows.join(per, F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.col("body") == F.col("leak_body")), "left")
     return joined.select("doc_id", F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
                          F.coalesce("best", F.lit(0.0)).alias("best"), F.col("item_ids").isNotNull().alias("leaked"))
 
@@ -248,5 +320,6 @@ def judged(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> D
 def clean(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> DataFrame:
     """``docs`` less every document that holds a test item."""
     key = fresh(docs.columns, "leak_id")
-    gone = sized(stage(leaks(docs, benchmark, rule).select(F.col("doc_id").alias(key)).distinct(), "leaked"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[key]), "left_anti")
+    body = fresh([*docs.columns, key], "leak_body")
+    gone = sized(stage(leaks(docs, benchmark, rule).select(F.col("doc_id").alias(key), F.col("body").alias(body)).distinct(), "leaked"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[key]) & (F.xxhash64(docs["text"]) == gone[body]), "left_anti")
