@@ -351,12 +351,17 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit | None = None) -> Model |
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(sized(known), "doc_id")
     texts = texts.withColumn("body", F.xxhash64("text"))
     first = texts.groupBy("body", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    first = stage(first.select("doc_id", "toxic"), "first")
+    copies = texts.groupBy("body", "toxic", "doc_id").agg(F.count("*").alias("copies"))
+    first = stage(copies.join(first.select("body", "toxic", "doc_id"), ["body", "toxic", "doc_id"]), "first")
     per = {r["toxic"]: r["n"] for r in first.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(per) < 2:
         return None
     # labels of one copy of each text; the texts come straight from the table
-    labelled = docs.select("doc_id", "text").join(sized(first), "doc_id")
+    found = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
+    once, again = first.where("copies = 1"), first.where("copies > 1")  # of rows repeated as a whole one is read
+    labelled = found.join(sized(once), ["doc_id", "body"])
+    if not again.isEmpty():
+        labelled = labelled.unionByName(found.join(sized(again), ["doc_id", "body"]).dropDuplicates(["doc_id", "body", "toxic"]))
     n1, n0 = float(per[1]), float(per[0])
     held = lambda toxic: (labelled.where(f"toxic = {toxic}").select("text").mapInArrow(_held(logp), "feature long, n long")
                           .groupBy("feature").agg(F.sum("n").cast("double").alias("n")))
@@ -372,8 +377,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit | None = None) -> Model |
     order_by = [F.xxhash64("doc_id"), F.col("doc_id")]
     few = (first.where("toxic = 0").orderBy(*order_by).limit(how.docs)
            .unionByName(first.where("toxic = 1").orderBy(*order_by).limit(how.docs)))
-    few = F.broadcast(stage(few, "sample"))  # at most 2 * how.docs rows of two numbers
-    rows = (docs.select("doc_id", "text").join(few, "doc_id").select("toxic", "text")
+    few = F.broadcast(stage(few.drop("copies"), "sample"))  # at most 2 * how.docs rows of three numbers
+    rows = (found.join(few, ["doc_id", "body"]).dropDuplicates(["doc_id", "body", "toxic"]).select("toxic", "text")
             .mapInArrow(B.over_blocks(lambda b: {"x": _listed(evidence(b, model))}, ["toxic"]), "toxic int, x array<double>").toArrow())
     x = np.array(rows.column("x").to_pylist()).reshape(-1, STATS)
     y = rows.column("toxic").to_numpy().astype(float)
