@@ -7,7 +7,8 @@ A text farther from it than the centroid's own members is marked as rejected.
 
 Document frequencies count every text of a known language that is not held out.
 Centroids are fitted on a bounded sample: about ``Fit.docs`` texts per language, by
-hash of the id, none longer than ``Fit.chars``.
+hash of the id, none longer than ``Fit.chars``; a language with less than ``Fit.least``
+of these is known by about so many longer ones too.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and
 rejected; without any known language all texts are; equal cosines go to the first
@@ -16,6 +17,7 @@ language in order; repeated rows agree; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +43,7 @@ LETTER[128:] = True
 class Fit:
     docs: int = 500
     chars: int = 100_000
+    least: int = 20
     centroids: int = 4
     rounds: int = 10
     slack: float = 1.25  # a text is rejected beyond so many times the distance of nearly all members
@@ -55,6 +58,16 @@ class Model:
     radius: np.ndarray
 
 
+ROWS = 2048  # texts whose vectors are held at once
+
+
+def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[B.Block]:
+    """Blocks of ``BLOCK`` bytes and ``ROWS`` texts at most; a vector takes far more room than a short text."""
+    for lo in range(0, len(column), ROWS):
+        for b in B.blocks(column.slice(lo, ROWS), BLOCK):
+            yield B.Block(b.lo + lo, b.hi + lo, b.data, b.bounds)
+
+
 def counts(block: B.Block) -> np.ndarray:
     """Matrix of n-gram counts, a row for each text; runs of other bytes count as one space."""
     data = B.lowered(block.data)
@@ -113,7 +126,7 @@ def _frequencies(batches):
     """Number of texts that hold each n-gram place; place -1 has the number of texts."""
     df, n = np.zeros(DIMS, dtype=np.int64), 0
     for batch in batches:
-        for block in B.blocks(batch.column("text"), BLOCK):
+        for block in blocks(batch.column("text")):
             c = counts(block)
             df += (c > 0).sum(0)
             n += len(c)
@@ -138,13 +151,15 @@ def train(docs: DataFrame, how: Fit | None = None) -> Model | None:
     idf = np.log((1 + total) / (1 + df)) + 1
 
     # about so many texts of each language, chosen by hash, so no language is gathered whole
-    sizes = stage(known.groupBy("lang").agg(F.count("*").alias("of")), "langs")
+    fits = F.length("text") <= how.chars
+    sizes = stage(known.groupBy("lang").agg(F.count("*").alias("of"), F.count(F.when(fits, 1)).alias("fitting")), "langs")
     luck = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = known.where(F.length("text") <= how.chars).join(sizes, "lang").where(luck * F.col("of") < how.docs)
+    few = known.join(sizes, "lang").where(F.when(fits, luck * F.col("of") < how.docs)
+                                          .otherwise((F.col("fitting") < how.least) & (luck * (F.col("of") - F.col("fitting")) < how.least)))
 
     def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         texts = pa.array(rows.sort_values("doc_id")["text"], pa.string())
-        v = np.concatenate([vectors(b, idf) for b in B.blocks(texts, BLOCK)])
+        v = np.concatenate([vectors(b, idf) for b in blocks(texts)])
         c, own = clustered(v, how.centroids, how.rounds)
         far = [1 - (v[own == j] @ c[j]) for j in range(len(c))]
         radius = [float(np.quantile(f, how.nearly)) if len(f) else 0.0 for f in far]
@@ -152,6 +167,8 @@ def train(docs: DataFrame, how: Fit | None = None) -> Model | None:
 
     made = few.select("lang", "doc_id", "text").groupBy("lang").applyInPandas(centroids, "lang string, k int, centroid binary, radius double").collect()
     made = sorted(made, key=lambda r: (r["lang"], r["k"]))  # Fit.centroids for each language
+    if not made:  # the draw left out the few texts there are
+        return None
     return Model(idf, np.array([r["lang"] for r in made]), np.stack([np.frombuffer(r["centroid"], np.float32) for r in made]),
                  np.array([r["radius"] for r in made]))
 
@@ -170,7 +187,7 @@ def predictions(docs: DataFrame, model: Model | None, how: Fit | None = None) ->
         def near(batches):
             m = shared.value
             for batch in batches:
-                for b in B.blocks(batch.column("text"), BLOCK):
+                for b in blocks(batch.column("text")):
                     cos = vectors(b, m.idf) @ m.centroids.T
                     top = np.argmax(cos, axis=1)
                     best = np.clip(cos[np.arange(len(top)), top].astype(float), 0, 1)
