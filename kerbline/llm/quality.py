@@ -6,7 +6,8 @@ too.  Forward-backward gives each line's probability of being good; weighted by
 lines' lengths they make the document's quality.
 
 The field is fitted on a bounded sample of labelled documents: ``Fit.docs`` per label,
-by hash of the id, no longer than ``Fit.chars``; lines take their document's label.
+by hash of the id, longer ones than ``Fit.chars`` only where there are too few others,
+and ``Fit.lines`` lines of each at most; lines take their document's label.
 The features of the sample are made by the executors, the fit itself is a few hundred
 gradient steps on the driver.  Scoring reads whole texts.
 
@@ -33,7 +34,8 @@ THRESHOLD = 0.3
 @dataclass(frozen=True)
 class Fit:
     docs: int = 2000  # labelled documents per label at most
-    chars: int = 100_000  # longest document of the sample
+    chars: int = 100_000  # longer documents come last
+    lines: int = 2000  # first lines of a document of the sample
     steps: int = 150
     rate: float = 0.1
     ridge: float = 1e-3
@@ -185,11 +187,15 @@ def fit(x: np.ndarray, starts: np.ndarray, good: np.ndarray, weight: np.ndarray,
     return Field(mean, scale, theta[:-4], theta[-4:].reshape(2, 2))
 
 
-def _line_rows(batches):
-    """One row per document: features and lengths of its lines."""
+def _line_rows(batches, lines: int):
+    """One row per document: features of its first lines."""
     for batch in batches:
         for block in B.blocks(batch.column("text")):
-            x, length, rows = line_features(block)
+            x, _, rows = line_features(block)
+            n = np.minimum(np.diff(rows), lines)
+            kept = np.concatenate([[0], np.cumsum(n)])
+            x = x[np.repeat(rows[:-1] - kept[:-1], n) + np.arange(kept[-1])]
+            rows = kept
             lists = pa.ListArray.from_arrays(pa.array((rows * FEATURES).astype(np.int32)), pa.array(x.ravel().astype(np.float32)))
             part = [batch.column(c).slice(block.lo, block.hi - block.lo) for c in ("doc_id", "good")]
             yield pa.RecordBatch.from_arrays([*part, lists], names=["doc_id", "good", "x"])
@@ -203,12 +209,16 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit | None = None) -> Field |
     """
     how = how or Fit()
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(5, 0)).select("doc_id", F.col("quality").alias("good")).distinct()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # of several texts under one id the least by hash stands for it
+    body = F.xxhash64("text")
+    sizes = docs.where("text IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(body.alias("body"), F.length("text").alias("chars"))).alias("t"))
+    known = stage(known.join(sizes, "doc_id").select("doc_id", "good", "t.body", (F.col("t.chars") > how.chars).alias("long")), "labelled")
+    order = [F.col("long"), F.xxhash64("doc_id"), F.col("doc_id")]
     some = known.where("good = 0").orderBy(*order).limit(how.docs).unionByName(known.where("good = 1").orderBy(*order).limit(how.docs))
-    few = F.broadcast(stage(some, "sample"))  # at most 2 * how.docs rows of two numbers
-    texts = docs.select("doc_id", "text").where(F.length("text") <= how.chars).join(few, "doc_id").dropDuplicates(["doc_id"])
-    rows = texts.select("doc_id", "good", "text").mapInArrow(_line_rows, "doc_id long, good int, x array<float>").collect()
-    rows = sorted((r for r in rows if r["x"]), key=lambda r: r["doc_id"])
+    few = F.broadcast(stage(some.drop("long"), "sample"))  # at most 2 * how.docs rows of three numbers
+    texts = docs.select("doc_id", body.alias("body"), "text").join(few, ["doc_id", "body"]).dropDuplicates(["doc_id", "body", "good"])
+    rows = texts.select("doc_id", "good", "text").mapInArrow(lambda b: _line_rows(b, how.lines), "doc_id long, good int, x array<float>").collect()
+    rows = sorted((r for r in rows if r["x"]), key=lambda r: (r["doc_id"], r["good"]))
     if len({r["good"] for r in rows}) < 2:
         return None
     x = np.concatenate([np.asarray(r["x"], dtype=float).reshape(-1, FEATURES) for r in rows])
