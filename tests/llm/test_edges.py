@@ -4,6 +4,7 @@ import itertools
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +172,67 @@ def test_weights_repeat_over_many_sources(spark):
     sizes = mixing.document_sizes(docs)
     got = {r["source"]: r["weight"] for r in mixing.weighted_sources(sizes, (5, 2, 1)).collect()}
     assert [got[f"s{i:03d}"] for i in range(300)] == list(itertools.islice(itertools.cycle((5, 2, 1)), 300))
+
+
+def test_leaks_are_judged_by_text_not_by_id(spark):
+    item = "which of the seven rivers flows through the old town before it meets the sea at last the green one"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"intro words {item} and more"), (None, "a clean text of its own with nothing to hide"), (5, f"again {item} here"), (5, "clean too under the same id"), (6, "fine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["text"] for r in D.clean(docs, benchmark).collect()) == sorted(t for _, t in rows if item not in t)
+    assert sorted((r["doc_id"] or 0, r["leaked"]) for r in D.judged(docs, benchmark).collect()) == [(0, False), (0, True), (5, False), (5, True), (6, False)]
+
+
+def test_more_indexes_change_no_score(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(words, 30))) for i in range(40)] + [(3, " ".join(rng.choice(words, 290)))]
+    docs = [(i, " ".join([*rng.choice(words, 20), *items[i][1].split()[3:], *rng.choice(words, 20)])) for i in range(20)]
+    docs += [(100, " ".join(items[-1][1].split()[-130:]))]
+    b = spark.createDataFrame(items + items[:9], "item_id long, text string")  # some repeated
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    def found(shard):
+        return sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in D.leaks(d, b, D.Rule(threshold=0.5, shard=shard)).collect())
+    assert found(1000) == found(14) and len(found(14)) > 10
+    assert any(doc == 100 and item == 3 for doc, item, _ in found(14))  # the last piece of a long item is looked for too
+
+
+def test_candidates_in_small_batches_are_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 40) % 90) for _ in range(200)]
+    rule = D.Rule(threshold=0.4)
+    ix = D.build(list(range(200)), texts, rule)
+    pairs = sorted({(int(p), int(t)) for p, t in zip(rng.integers(0, 60, 900), rng.integers(0, len(ix.terms), 900))})
+    passage, term = (np.array(x) for x in zip(*pairs))
+    def found():
+        return set(zip(*[x.tolist() for x in D.candidates(passage, term, 60, ix, 0.3)]))
+    whole = found()
+    monkeypatch.setattr(D, "ROOM", 300)
+    assert found() == whole and whole
+
+
+def test_a_doubled_table_gives_the_same_models(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.unionByName(docs)
+    a, b = T.train(docs, labels), T.train(twice, labels)
+    assert a.features.tolist() == b.features.tolist() and np.allclose(a.weights, b.weights) and np.allclose(a.beta, b.beta)
+    a, b = quality.train(docs, labels), quality.train(twice, labels)
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.stay, b.stay)
+
+
+def test_languages_and_labels_known_by_long_texts_only(spark):
+    german, english = "der Hund und die Katze laufen durch den Garten ", "the dog and the cat are running through the garden "
+    rows = [(i, german * 40, "de") for i in range(0, 60)] + [(100 + i, english, "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    how = L.Fit(chars=1000)
+    got = {r["doc_id"]: r["lang_pred"] for r in L.predictions(docs, L.train(docs, how), how).collect()}
+    assert all(got[i] == "de" for i in range(60)) and all(got[100 + i] == "en" for i in range(40))
+    assert L.train(docs.where("lang = 'de'"), how) is not None
+    bad = [(i, "!!! $$$ ### BUY BUY BUY\n" * 100) for i in range(40)]
+    good = [(100 + i, "A quiet line of plain words, as people write them.\n" * 2) for i in range(40)]
+    docs = spark.createDataFrame(bad + good, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in bad + good], "doc_id long, quality int")
+    field = quality.train(docs, labels, quality.Fit(chars=500, lines=50))
+    got = {r["doc_id"]: r["score"] for r in quality.scores(docs, field).collect()}
+    assert max(got[i] for i in range(40)) < 0.3 < min(got[100 + i] for i in range(40))
