@@ -177,6 +177,9 @@ def case_topo_c(ends: DataFrame) -> DataFrame:
     return _case(f, "topo_c", F.col("pair"))
 
 
+DRAWN = "manual"  # source of crosswalks drawn by hand
+
+
 def choose(candidates: DataFrame, crossed: DataFrame) -> DataFrame:
     """First applicable case per slot; a street end is then filled by its first slot only."""
     per_slot = candidates.groupBy(*SLOT).agg(F.min_by(F.struct("source", "line"), "rank").alias("c"))

@@ -10,6 +10,19 @@ from kerbline.operators.ranking import numbered
 from kerbline.staging import stage
 
 ADD_RADIUS_M = 40.0
+LINE = "array<struct<x:double,y:double>>"
+
+# columns of an edit table; those that an edit does not use are null
+EDIT_COLUMNS = {
+    "edit_id": "long", "user_id": "long", "edit_type": "string", "node_id": "long", "seg_id": "long", "consumed_id": "long", "col": "string",
+    "new_value": "string", "lon": "double", "lat": "double", "x": "double", "y": "double", "band": "array<long>", "side": "string", "pos": "string",
+    "n": "int", "enabled": "boolean", "b_seg_id": "long", "b_side": "string", "b_pos": "string", "b_n": "int", "geom": LINE, "utm": LINE}
+
+
+def edit_table(edits: DataFrame) -> DataFrame:
+    """``edits`` with every column of an edit table, null where it has none; edits of no known user are one user's."""
+    out = edits.select(*[(F.col(c) if c in edits.columns else F.lit(None)).cast(t).alias(c) for c, t in EDIT_COLUMNS.items()])
+    return out.withColumn("user_id", F.coalesce("user_id", F.lit(0).cast("long")))
 
 
 def segment_end_points(segments: DataFrame) -> DataFrame:
@@ -104,11 +117,17 @@ def edit_attributes(segments: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def move_nodes(segments: DataFrame, moves: DataFrame) -> DataFrame:
-    """Set node points and pull the attached line ends along; ``moves`` is (node_id, edit_id, lon, lat, x, y)."""
-    last = moves.groupBy("node_id").agg(F.max_by(F.struct("lon", "lat", "x", "y"), "edit_id").alias("p"))
+    """Set node points and pull the attached line ends along; ``moves`` is (node_id, edit_id, lon, lat, x, y).
+
+    With a column ``band`` (ids of segments) only the lines that it lists follow; null lists all.
+    """
+    band = F.col("band") if "band" in moves.columns else F.lit(None).cast("array<long>")
+    last = moves.groupBy("node_id").agg(F.max_by(F.struct("lon", "lat", "x", "y", band.alias("band")), "edit_id").alias("p"))
     s = segments
     for end in ("start", "end"):
         s = s.join(last.select(F.col("node_id").alias(f"{end}_node"), F.col("p").alias(f"_{end}")), f"{end}_node", "left")
+        follows = F.coalesce(F.array_contains(f"_{end}.band", F.col("seg_id")), F.lit(True))
+        s = s.withColumn(f"_{end}", F.when(follows, F.col(f"_{end}")))
     for line, x, y in (("geom", "lon", "lat"), ("utm", "x", "y")):
         first = F.coalesce(F.when(F.col("_start").isNotNull(), G.pt(F.col(f"_start.{x}"), F.col(f"_start.{y}"))), G.first_pt(F.col(line)))
         end = F.coalesce(F.when(F.col("_end").isNotNull(), G.pt(F.col(f"_end.{x}"), F.col(f"_end.{y}"))), G.last_pt(F.col(line)))
@@ -202,28 +221,57 @@ def merge_all(segments: DataFrame, nodes: DataFrame) -> DataFrame:
         left = stage(left.join(requests.select("node_id"), "node_id", "left_anti"), "merge-nodes")
 
 
+def merge_named(segments: DataFrame, requests: DataFrame) -> DataFrame:
+    """Merges of named segments, (edit_id, seg_id, consumed_id, node_id), as if done one after the other.
+
+    Requests that share no segment do not depend on each other, so each round serves those
+    that come first for both of their segments; a chain takes a round per link.  A request
+    whose segments are gone, or do not meet at its node, is passed over.
+    """
+    left = stage(requests.select("edit_id", "seg_id", "consumed_id", "node_id").where("seg_id <> consumed_id").distinct(), "named-merges")
+    while not left.isEmpty():
+        named = left.select("edit_id", F.explode(F.array("seg_id", "consumed_id")).alias("s")).groupBy("s").agg(F.min("edit_id").alias("first"))
+        now = left
+        for c in ("seg_id", "consumed_id"):
+            now = now.join(named.select(F.col("s").alias(c), F.col("first").alias(f"_{c}")), c).where(F.col(f"_{c}") == F.col("edit_id")).drop(f"_{c}")
+        now = stage(now.dropDuplicates(["edit_id"]), "merges-now")
+        fit = now
+        for c in ("seg_id", "consumed_id"):
+            ends = segments.select(F.col("seg_id").alias(c), F.col("start_node").alias("_s"), F.col("end_node").alias("_e"))
+            fit = fit.join(ends, c).where("(_s = node_id) <> (_e = node_id)").drop("_s", "_e")
+        segments = stage(merge_segments(segments, stage(fit.drop("edit_id"), "fit-merges")), "merged-segments")
+        left = stage(left.join(now.select("edit_id"), "edit_id", "left_anti"), "named-merges")
+    return segments
+
+
 def max_drawn_id(segments: DataFrame) -> DataFrame:
     """Largest number formed by the digits of a street id (one row)."""
     return segments.agg(F.max(F.regexp_replace("grid_id", "[^0-9]", "").try_cast("long")).alias("max_id"))
 
 
-def draw_segments(segments: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Rows for drawn lines (edit_id, geom, utm): ids after the largest existing one, two nodes of their own."""
+# Ids made by edits lie in ranges of their own: joints of split edges are no lower than -2**60,
+# below them come nodes and segments of drawn lines, then those of cuts.
+DRAWN_NODES = DRAWN_SEGMENTS = -(1 << 60)
+SPLIT_NODES = SPLIT_SEGMENTS = -(1 << 61)
+
+
+def draw_segments(segments: DataFrame, drawn: DataFrame, above: int | None = None) -> DataFrame:
+    """Rows for drawn lines (edit_id, geom, utm): ids after the largest existing one, or after ``above``, two nodes of their own."""
     d = numbered(drawn.withColumn("_g", F.lit(0)), ["_g"], "edit_id", "_n").drop("_g")
-    number = F.coalesce(max_drawn_id(segments).scalar(), F.lit(0)) + F.col("_n") + 1
+    most = F.coalesce(max_drawn_id(segments).scalar(), F.lit(0)) if above is None else F.lit(above).cast("long")
+    number = most + F.col("_n") + 1
     rows = d.withColumn("_id", number).select(
-        (-F.col("_id")).alias("seg_id"), F.concat(F.lit("drawn_"), F.col("_id").cast("string")).alias("grid_id"),
-        (-(F.col("_id") * 2)).alias("start_node"), (-(F.col("_id") * 2) - 1).alias("end_node"),
+        (F.lit(DRAWN_SEGMENTS) - F.col("_id")).alias("seg_id"), F.concat(F.lit("drawn_"), F.col("_id").cast("string")).alias("grid_id"),
+        (F.lit(DRAWN_NODES) - F.col("_id") * 2).alias("start_node"), (F.lit(DRAWN_NODES) - F.col("_id") * 2 - 1).alias("end_node"),
         F.lit("unclassified").alias("highway"), F.lit(False).alias("start_is_intersection"), F.lit(False).alias("end_is_intersection"), "geom", "utm")
     return segments.unionByName(rows, allowMissingColumns=True)
 
 
-SPLIT_NODES = -(1 << 61)  # nodes made by cuts, below those of bends and drawn lines
 CUT_GAP_M = 0.01
 
 
 def split_segments(segments: DataFrame, points: DataFrame, radius: float = ADD_RADIUS_M) -> DataFrame:
-    """Cut the street nearest to each point at its projection: (seg_id, edit_id, part, start_node, end_node, utm).
+    """Cut the street nearest to each point at its projection: (seg_id, edit_id, part, start_node, end_node, m0, m1, utm).
 
     A street takes all its cuts, in the order they lie on it; of cuts at one place
     the first stands.  ``edit_id`` is the cut a piece begins with, for the first piece
@@ -245,7 +293,7 @@ def split_segments(segments: DataFrame, points: DataFrame, radius: float = ADD_R
     rows = rows.withColumn("stops", stops).withColumn("part", F.explode(F.sequence(F.lit(0), F.size("cuts"))))
     a, b = F.get("stops", F.col("part")), F.get("stops", F.col("part") + 1)
     return rows.select("seg_id", F.get("cuts", F.greatest(F.col("part") - 1, F.lit(0)))["edit_id"].alias("edit_id"), "part",
-                       a["node"].alias("start_node"), b["node"].alias("end_node"), G.substring(F.col("ms"), a["m"], b["m"]).alias("utm"))
+                       a["node"].alias("start_node"), b["node"].alias("end_node"), a["m"].alias("m0"), b["m"].alias("m1"), G.substring(F.col("ms"), a["m"], b["m"]).alias("utm"))
 
 
 def edit_hulls(hulls: DataFrame, edited: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from kerbline.config import Params
@@ -269,12 +271,13 @@ def merge_hulls(hulls: DataFrame, components: DataFrame) -> tuple[DataFrame, Dat
     return rings.join(counts, "hull_id"), members
 
 
-def junction_zones(points: DataFrame, params: Params = Params(), links: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(node hulls, merged hulls, members) as stage tables; ``links`` (a, b) forces chosen hulls together."""
+def junction_zones(points: DataFrame, params: Params = Params(),
+                   links: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node hulls, merged hulls, members) as stage tables; ``links`` of the hulls, (a, b), forces chosen ones together."""
     hulls = stage(build_hulls(points, params.hull_ramp_max_m), "node-hulls")
     pairs = hull_pairs(hulls, params.hull_merge_buffer_m).select("a", "b")
     if links is not None:
-        pairs = pairs.unionByName(links.select("a", "b"))
+        pairs = pairs.unionByName(links(hulls).select("a", "b"))
     comps = connected_components(hulls.select(F.col("node_id").alias("id")), pairs)
     merged, members = merge_hulls(hulls, comps)
     return hulls, stage(merged, "hulls"), stage(members, "members")

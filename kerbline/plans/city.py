@@ -11,6 +11,7 @@ from kerbline.config import Params
 from kerbline.functions import tags
 from kerbline.operators import (calming as CA, crosswalks as XW, elevation as EL, facilities as FA, intersections as IX,
                                 network as N, ramps as R, snap)
+from kerbline.plans.overrides import Overrides
 from kerbline.staging import stage
 
 
@@ -40,6 +41,7 @@ class Network:
     facility_ends: DataFrame
     crossings: DataFrame
     footways: DataFrame
+    overrides: Overrides | None = None
 
 
 def street_facilities(segments: DataFrame, facs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -59,19 +61,28 @@ def street_facilities(segments: DataFrame, facs: DataFrame, params: Params) -> t
 
 
 def junctions(segments: DataFrame, facilities: DataFrame, sidewalks: DataFrame, crossings: DataFrame, footways: DataFrame,
-              params: Params = Params(), links: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Ramps, hulls, slots and crosswalks of all intersection nodes of ``segments``."""
+              params: Params = Params(), own: Overrides | None = None, nodes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Ramps, hulls, slots and crosswalks of all intersection nodes of ``segments``.
+
+    ``own`` corrects them as they are made, hulls at ``nodes`` (node_id) or everywhere.
+    """
+    own = own or Overrides.none(segments.sparkSession)
     arms = stage(IX.endpoint_registry(sidewalks), "arms")
     points = stage(IX.ramp_points(arms, segments, params), "ramp-points")
-    ramps = stage(IX.curb_ramps(points), "ramps")
-    node_hulls, hulls, members = IX.junction_zones(points, params, links)
+    inferred = stage(IX.curb_ramps(points), "ramps")
+    ramps = stage(own.enabled(inferred), "enabled-ramps")
+    node_hulls, hulls, members = IX.junction_zones(points, params, own.hull_links)
     captive = IX.captive_sidewalks(sidewalks, node_hulls)
     walks = stage(sidewalks.join(captive.select("seg_id", "side"), ["seg_id", "side"], "left_anti"), "free-sidewalks")
+    at = segments.select(F.explode(F.array("start_node", "end_node")).alias("node_id")) if nodes is None else nodes
+    hulls, members = own.reshaped(hulls, members, at)
     slots = stage(IX.crosswalk_slots(hulls, params.crosswalk_buffer_m), "slots")
     hull_arms = stage(XW.hull_arms(IX.node_arms(segments), members), "hull-arms")
     chosen, hits, absorbed, _ = XW.detect(slots, hull_arms, segments, walks, ramps, crossings, footways, hulls, members, params)
+    chosen = stage(own.chosen(chosen, segments), "final-crosswalks")
     crosswalks = stage(XW.attributes(XW.write(chosen, segments, facilities), crossings), "crosswalks")
-    ramps = ramps.unionByName(XW.new_ramps(hits, chosen, segments, members, ramps), allowMissingColumns=True)
+    # a slot that is switched off is not filled again by a ray
+    ramps = own.enabled(ramps.unionByName(XW.new_ramps(hits, chosen, segments, members, inferred), allowMissingColumns=True))
     by_node = members.join(hulls.select("hull_id", "ring"), "hull_id")
     gone = stage(XW.absorbed_segments(absorbed, footways, segments), "absorbed")
     walks, ramps = XW.clear_stubs(XW.clear_absorbed(walks, gone), XW.clear_absorbed(ramps, gone), by_node)
@@ -79,7 +90,7 @@ def junctions(segments: DataFrame, facilities: DataFrame, sidewalks: DataFrame,
             "sidewalks": stage(walks, "clean-sidewalks")}
 
 
-def build(inputs: Inputs, params: Params = Params()) -> Network:
+def build(inputs: Inputs, params: Params = Params(), overrides: Overrides | None = None) -> Network:
     """All steps from edges to government ramps; stage tables separate the phases."""
     base = stage(N.foundation(inputs.edges, inputs.lines, inputs.nodes, params), "foundation")
     sloped = stage(EL.slopes(base.withColumnRenamed("incline", "incline_tag"), inputs.elevation, params)
@@ -90,12 +101,12 @@ def build(inputs: Inputs, params: Params = Params()) -> Network:
     segments, facilities = stage(segments, "segments"), stage(facilities, "facilities")
     footways = stage(left.where("kind = 'sidewalk'").select("fac_id", "utm", "edge_id"), "footways")
     sidewalks = stage(snap.snap_endpoints(IX.sidewalk_lines(facilities, segments), segments), "snapped")
-    j = junctions(segments, facilities, sidewalks, inputs.crossings, footways, params)
+    j = junctions(segments, facilities, sidewalks, inputs.crossings, footways, params, overrides)
     roads = segments.where(tags.is_road(F.col("highway")))
     ramps = stage(R.enrich(j["ramps"], inputs.inventory, roads, params), "all-ramps")
     ends = stage(FA.facility_ends(facilities, segments, j["crosswalks"]), "facility-ends")
     return Network(segments=segments, facilities=facilities, sidewalks=j["sidewalks"], ramps=ramps, hulls=j["hulls"], members=j["members"],
-                   slots=j["slots"], crosswalks=j["crosswalks"], calming=calming, facility_ends=ends, crossings=inputs.crossings, footways=footways)
+                   slots=j["slots"], crosswalks=j["crosswalks"], calming=calming, facility_ends=ends, crossings=inputs.crossings, footways=footways, overrides=overrides)
 
 
 def wide(net: Network) -> DataFrame:
@@ -185,8 +196,8 @@ def replace_rows(old: DataFrame, new: DataFrame, keys: DataFrame, on: list[str])
     return old.join(keys, on, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def recompute(net: Network, nodes: DataFrame, params: Params = Params(), links: DataFrame | None = None, from_snap: bool = False) -> Network:
-    """Junction tables of the given nodes computed again from scratch; all other rows stay."""
+def recompute(net: Network, nodes: DataFrame, params: Params = Params(), from_snap: bool = False) -> Network:
+    """Junction tables of the given nodes computed again from scratch, overrides included; all other rows stay."""
     nodes = stage(nodes.select("node_id").distinct(), "edited-nodes")
     # a merged hull is rebuilt as a whole
     hull_ids = net.members.join(nodes, "node_id", "left_semi").select("hull_id").distinct()
@@ -204,8 +215,9 @@ def recompute(net: Network, nodes: DataFrame, params: Params = Params(), links:
     rows = net.facilities.join(segs, "seg_id", "left_semi")
     lines = IX.sidewalk_lines(rows, part)
     lines = stage(snap.snap_endpoints(lines, part) if from_snap else lines.drop("utm").join(net.sidewalks.select("seg_id", "side", "utm"), ["seg_id", "side"]), "patch-sidewalks")
-    j = junctions(part, rows, lines, net.crossings, net.footways, params, links)
+    j = junctions(part, rows, lines, net.crossings, net.footways, params, net.overrides, nodes)
     manual = net.ramps.join(touched, ["seg_id", "pos"], "left_semi").where("quality NOT IN ('topology', 'osmpoint')")
+    manual = manual if net.overrides is None else net.overrides.enabled(manual)
     fresh = j["ramps"].join(touched, ["seg_id", "pos"], "left_semi").join(manual.select("seg_id", "side", "pos", "n"), ["seg_id", "side", "pos", "n"], "left_anti")
     # sidewalk lines of the patch: where a street was looked at from one end only, lines that were cleared stay so
     whole = part.where("start_is_intersection AND end_is_intersection").select("seg_id").distinct()

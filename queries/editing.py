@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbline.functions import geom as G
-from kerbline.operators import edits as ED, intersections as IX
+from kerbline.operators import calming as CA, edits as ED, facilities as FA, intersections as IX
+from kerbline.plans import changes, city as plan
+from kerbline.staging import stage
 from queries.registry import City, query, rounded
 from queries.sqltext import cross, dist, part, pseg, r, segseg, tparam
 
@@ -217,3 +219,117 @@ def affected_rows(c: City):
     named = of_type(c, "delete_point", "add_point").join(first, "node_id").select("seg_id")
     dragged = of_type(c, "move_point").join(first, "node_id").select("seg_id").distinct()
     return ED.affected_segments(c.straight, of_type(c, "delete_point").select("node_id"), named, dragged).select("seg_id")
+
+
+# -- a log of every kind of edit, applied in one changeset ------------------------
+
+_KIND = """CASE edit_type WHEN 'attr_edit' THEN CASE WHEN edit_id % 4 = 3 THEN 'toggle_curb_ramp' ELSE 'attr_edit' END
+ WHEN 'move_point' THEN CASE WHEN edit_id % 3 = 1 THEN 'edit_polygon_face' ELSE 'move_point' END
+ WHEN 'delete_point' THEN CASE edit_id % 3 WHEN 0 THEN 'delete_point' WHEN 1 THEN 'merge_segments' ELSE 'delete_polygon' END
+ WHEN 'add_point' THEN CASE edit_id % 4 WHEN 0 THEN 'add_point' WHEN 1 THEN 'draw_segment' WHEN 2 THEN 'split_segment' ELSE 'draw_crosswalk' END ELSE edit_type END"""
+
+
+def edit_log(c: City):
+    """The change log as an edit table of every kind; a merge names the two least streets at its node."""
+    e = c.changes.withColumn("edit_type", F.expr(_KIND))
+    first = c.straight.groupBy(C("start_node").alias("node_id")).agg(F.min("seg_id").alias("_first"))
+    merges = ED.merge_requests(e.where("edit_type = 'merge_segments'").select("node_id").distinct(), c.straight).select(
+        "node_id", C("seg_id").alias("_a"), C("consumed_id").alias("_b"))
+    j = e.join(first, "node_id", "left").join(merges, "node_id", "left")
+    def when(kind: str, value):
+        return F.when(C("edit_type") == kind, value)
+    ring = G.line_of(C("x") - 5, C("y") - 5, C("x") + 5, C("y") - 5, C("x") + 5, C("y") + 5, C("x") - 5, C("y") + 5)
+    ramp = C("edit_type").isin("toggle_curb_ramp", "draw_crosswalk")
+    return j.select(
+        "edit_id", "user_id", "edit_type", F.when((C("edit_type") != "merge_segments") | C("_a").isNotNull(), C("node_id")).alias("node_id"),
+        F.when(C("edit_type").isin("attr_edit", "toggle_curb_ramp", "draw_crosswalk"), C("_first")).otherwise(when("merge_segments", C("_a"))).alias("seg_id"),
+        when("merge_segments", C("_b")).alias("consumed_id"), "col", "new_value", "lon", "lat", "x", "y",
+        F.when(ramp, F.when((C("edit_type") == "draw_crosswalk") | (C("edit_id") % 2 == 0), "left").otherwise("right")).alias("side"),
+        F.when(ramp, "start").alias("pos"), when("draw_crosswalk", F.lit(1)).otherwise(when("toggle_curb_ramp", (1 + C("edit_id") % 3).cast("int"))).alias("n"),
+        when("toggle_curb_ramp", C("edit_id") % 8 == 7).alias("enabled"), when("draw_crosswalk", C("_first")).alias("b_seg_id"),
+        when("draw_crosswalk", F.lit("right")).alias("b_side"), when("draw_crosswalk", F.lit("start")).alias("b_pos"), when("draw_crosswalk", F.lit(1)).alias("b_n"),
+        when("draw_segment", G.line_of(C("lon"), C("lat"), C("lon") + 0.001, C("lat") + 0.0005)).alias("geom"),
+        when("draw_segment", G.line_of(C("x"), C("y"), C("x") + 88.0, C("y") + 55.0)).otherwise(when("edit_polygon_face", ring)).alias("utm"))
+
+
+def straight_network(c: City) -> plan.Network:
+    """The straight network with all that is booked on it."""
+    if not hasattr(c, "_straight_network"):
+        calming = stage(CA.collect(c.calming, CA.match_to_vertices(c.calming, c.straight), c.straight), "straight-calming")
+        footways = c.footpaths.withColumn("edge_id", F.lit(None).cast("long"))
+        c._straight_network = plan.Network(
+            segments=c.straight, facilities=c.facilities, sidewalks=c.sidewalks, ramps=c.ramps, hulls=c.merged[0], members=c.merged[1], slots=c.slots,
+            crosswalks=c.crosswalks, calming=calming, facility_ends=FA.facility_ends(c.facilities, c.straight), crossings=c.crossings, footways=footways)
+    return c._straight_network
+
+
+def edited(c: City) -> plan.Network:
+    if not hasattr(c, "_edited"):
+        c._edited = changes.direct_edits(straight_network(c), stage(ED.effective_edits(ED.edit_table(edit_log(c))), "live-log"))[0]
+    return c._edited
+
+
+part("o_log", f"""SELECT c.* REPLACE ({_KIND} AS edit_type) FROM o_changes c JOIN (SELECT edit_id FROM (SELECT *, min(depth) OVER (PARTITION BY user_id ORDER BY edit_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM o_depth)
+ WHERE edit_type <> 'undo' AND (later IS NULL OR later >= depth)) USING (edit_id)""")
+part("o_l1", """SELECT s.seg_id, s.grid_id, s.start_node, s.end_node, s.start_is_intersection AS sf, s.end_is_intersection AS ef, s.name,
+ coalesce(a.x, s.x0) AS x0, coalesce(a.y, s.y0) AS y0, coalesce(b.x, s.x1) AS x1, coalesce(b.y, s.y1) AS y1 FROM o_straight s LEFT JOIN o_lmove a ON a.node_id = s.start_node LEFT JOIN o_lmove b ON b.node_id = s.end_node""")
+part("o_lmove", "SELECT node_id, arg_max(x, edit_id) AS x, arg_max(y, edit_id) AS y FROM o_log WHERE edit_type = 'move_point' GROUP BY node_id")
+part("o_ladd", f"""SELECT seg_id, pos FROM (SELECT c.edit_id, e.seg_id, e.pos, {dist('c.x','c.y','e.x','e.y')} AS d FROM o_log c JOIN (SELECT seg_id, 'start' AS pos, x0 AS x, y0 AS y FROM o_l1 UNION ALL SELECT seg_id, 'end', x1, y1 FROM o_l1) e
+ ON e.x BETWEEN c.x - 40 AND c.x + 40 AND e.y BETWEEN c.y - 40 AND c.y + 40 WHERE c.edit_type = 'add_point') WHERE d <= 40 QUALIFY row_number() OVER (PARTITION BY edit_id ORDER BY round(d,6), seg_id, pos DESC) = 1""")
+part("o_ldel", "SELECT DISTINCT node_id FROM o_log WHERE edit_type IN ('delete_point', 'delete_polygon')")
+part("o_l2", """SELECT t.seg_id, t.grid_id, t.start_node, t.end_node, t.x0, t.y0, t.x1, t.y1, coalesce(n.v, t.name) AS name,
+ (t.sf OR t.seg_id IN (SELECT seg_id FROM o_ladd WHERE pos = 'start')) AND t.start_node NOT IN (SELECT node_id FROM o_ldel) AS sf,
+ (t.ef OR t.seg_id IN (SELECT seg_id FROM o_ladd WHERE pos = 'end')) AND t.end_node NOT IN (SELECT node_id FROM o_ldel) AS ef
+ FROM o_l1 t LEFT JOIN (SELECT s.seg_id, arg_max(c.new_value, c.edit_id) AS v FROM o_log c JOIN o_nodeseg s USING (node_id) WHERE c.edit_type = 'attr_edit' AND c.col = 'name' GROUP BY s.seg_id) n USING (seg_id)""")
+part("o_lreq0", f"SELECT node_id, list(seg_id ORDER BY seg_id)[1] AS a, list(seg_id ORDER BY seg_id)[2] AS b FROM (SELECT start_node AS node_id, seg_id FROM o_straight WHERE start_node <> end_node UNION ALL SELECT end_node, seg_id FROM o_straight WHERE start_node <> end_node) WHERE node_id IN (SELECT node_id FROM fx_changes WHERE {_KIND} = 'merge_segments') GROUP BY node_id HAVING count(*) >= 2")
+part("o_lreq", """SELECT m.* FROM o_lreq0 m JOIN (SELECT s, min(node_id) AS f FROM (SELECT a AS s, node_id FROM o_lreq0 UNION ALL SELECT b, node_id FROM o_lreq0) GROUP BY s) x ON x.s = m.a AND x.f = m.node_id
+ JOIN (SELECT s, min(node_id) AS f FROM (SELECT a AS s, node_id FROM o_lreq0 UNION ALL SELECT b, node_id FROM o_lreq0) GROUP BY s) y ON y.s = m.b AND y.f = m.node_id WHERE m.node_id IN (SELECT node_id FROM o_log WHERE edit_type = 'merge_segments')""")
+# a merged line has three vertices: its own far end, the shared node, the far end of the other
+part("o_l3", """SELECT seg_id, grid_id, start_node, end_node, name, sf, ef, [{'x': x0, 'y': y0}, {'x': x1, 'y': y1}] AS pts FROM o_l2 WHERE seg_id NOT IN (SELECT a FROM o_lreq UNION ALL SELECT b FROM o_lreq)
+ UNION ALL SELECT t.seg_id, t.grid_id, CASE WHEN t.end_node = m.node_id THEN t.start_node ELSE c.far END, CASE WHEN t.end_node = m.node_id THEN c.far ELSE t.end_node END, t.name,
+ CASE WHEN t.end_node = m.node_id THEN t.sf ELSE c.ff END, CASE WHEN t.end_node = m.node_id THEN c.ff ELSE t.ef END,
+ CASE WHEN t.end_node = m.node_id THEN [{'x': t.x0, 'y': t.y0}, {'x': t.x1, 'y': t.y1}, {'x': c.fx, 'y': c.fy}] ELSE [{'x': c.fx, 'y': c.fy}, {'x': t.x0, 'y': t.y0}, {'x': t.x1, 'y': t.y1}] END
+ FROM o_lreq m JOIN o_l2 t ON t.seg_id = m.a JOIN (SELECT r.node_id, CASE WHEN k.start_node = r.node_id THEN k.end_node ELSE k.start_node END AS far, CASE WHEN k.start_node = r.node_id THEN k.ef ELSE k.sf END AS ff,
+ CASE WHEN k.start_node = r.node_id THEN k.x1 ELSE k.x0 END AS fx, CASE WHEN k.start_node = r.node_id THEN k.y1 ELSE k.y0 END AS fy FROM o_lreq r JOIN o_l2 k ON k.seg_id = r.b) c ON c.node_id = m.node_id""")
+part("o_l4", """SELECT * FROM o_l3 UNION ALL SELECT -1152921504606846976 - id, 'drawn_' || CAST(id AS VARCHAR), -1152921504606846976 - 2 * id, -1152921504606846977 - 2 * id, NULL, false, false, [{'x': x, 'y': y}, {'x': x + 88.0e0, 'y': y + 55.0e0}]
+ FROM (SELECT x, y, (SELECT max(CAST(regexp_replace(grid_id, '[^0-9]', '', 'g') AS BIGINT)) FROM o_l3) + row_number() OVER (ORDER BY edit_id) AS id FROM o_log WHERE edit_type = 'draw_segment')""")
+part("o_l4p", f"""SELECT *, coalesce(sum(len) OVER (PARTITION BY seg_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS m0 FROM (
+ SELECT seg_id, k, pts[k].x AS ax, pts[k].y AS ay, pts[k+1].x AS bx, pts[k+1].y AS by, {dist('pts[k].x','pts[k].y','pts[k+1].x','pts[k+1].y')} AS len FROM (SELECT *, unnest(range(1, len(pts))) AS k FROM o_l4))""")
+part("o_lnear", f"""SELECT edit_id, seg_id, m FROM (SELECT edit_id, seg_id, arg_min(m, d) AS m, min(d) AS d FROM (SELECT c.edit_id, s.seg_id, s.m0 + s.len * {tparam('c.x','c.y','s.ax','s.ay','s.bx','s.by')} AS m, {pseg('c.x','c.y','s.ax','s.ay','s.bx','s.by')} AS d
+ FROM o_log c JOIN o_l4p s ON least(s.ax,s.bx) <= c.x + 40 AND greatest(s.ax,s.bx) >= c.x - 40 AND least(s.ay,s.by) <= c.y + 40 AND greatest(s.ay,s.by) >= c.y - 40 WHERE c.edit_type = 'split_segment') GROUP BY edit_id, seg_id)
+ WHERE d <= 40 QUALIFY row_number() OVER (PARTITION BY edit_id ORDER BY round(d,6), seg_id) = 1""")
+part("o_lcut", """SELECT *, row_number() OVER w AS k, lead(m) OVER w AS next_m, lead(edit_id) OVER w AS next_id FROM (SELECT n.*, t.len, lag(m) OVER (PARTITION BY n.seg_id ORDER BY m, edit_id) AS before FROM o_lnear n
+ JOIN (SELECT seg_id, sum(len) AS len FROM o_l4p GROUP BY seg_id) t ON t.seg_id = n.seg_id WHERE m > 0.01 AND m < t.len - 0.01) WHERE before IS NULL OR m - before > 0.01 WINDOW w AS (PARTITION BY seg_id ORDER BY m, edit_id)""")
+part("o_l5", """SELECT seg_id, seg_id AS of, start_node, end_node, sf, ef, name, 0.0e0 AS lo, 1e18 AS hi FROM o_l4 WHERE seg_id NOT IN (SELECT seg_id FROM o_lcut)
+ UNION ALL SELECT s.seg_id, s.seg_id, s.start_node, -2305843009213693952 - c.edit_id, s.sf, false, s.name, 0.0e0, c.m FROM o_lcut c JOIN o_l4 s USING (seg_id) WHERE c.k = 1
+ UNION ALL SELECT -2305843009213693952 - c.edit_id, s.seg_id, -2305843009213693952 - c.edit_id, coalesce(-2305843009213693952 - c.next_id, s.end_node), false, s.ef AND c.next_id IS NULL, s.name, c.m, coalesce(c.next_m, c.len) FROM o_lcut c JOIN o_l4 s USING (seg_id)""")
+
+
+@query("changeset_segments", f"""SELECT l.seg_id, l.start_node, l.end_node, l.sf, l.ef, l.name, {r('max(least(l.hi, p.m0 + p.len)) - any_value(l.lo)', 3)} AS length,
+ CAST(2 + count(*) FILTER (WHERE p.k > 1 AND p.m0 > l.lo + 1e-9 AND p.m0 < l.hi - 1e-9) AS INTEGER) AS n_vertices FROM o_l5 l JOIN o_l4p p ON p.seg_id = l.of GROUP BY l.seg_id, l.start_node, l.end_node, l.sf, l.ef, l.name""")
+def changeset_segments(c: City):
+    """Streets after a log of every kind: moves, added and deleted points, attributes, merges, drawn lines and cuts, undone edits left out."""
+    s = edited(c).segments
+    return rounded(s.select("seg_id", "start_node", "end_node", C("start_is_intersection").alias("sf"), C("end_is_intersection").alias("ef"), "name",
+                            G.length(C("utm")).alias("length"), F.size("utm").alias("n_vertices")), length=3)
+
+
+part("o_ltoggle", "SELECT seg_id, CASE WHEN edit_id % 2 = 0 THEN 'left' ELSE 'right' END AS side, CAST(1 + edit_id % 3 AS INTEGER) AS n, arg_max(edit_id % 8 = 7, edit_id) AS enabled FROM o_log JOIN o_nodeseg USING (node_id) WHERE edit_type = 'toggle_curb_ramp' GROUP BY ALL")
+part("o_lon", "SELECT r.* FROM o_ramps r LEFT JOIN o_ltoggle t ON t.seg_id = r.seg_id AND t.side = r.side AND r.pos = 'start' AND t.n = r.n WHERE coalesce(t.enabled, true)")
+
+
+# what is booked on a street's ends goes with the pieces; a street that begins at the shared node keeps its id in a merge
+@query("changeset_overrides", f"""SELECT 'ramp' AS kind, t.seg_id AS id, t.side, 'start' AS pos, t.n, t.enabled, CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y FROM o_ltoggle t
+ UNION ALL SELECT 'crosswalk', s.seg_id, NULL, 'start', NULL, NULL, {r('any_value(a.x)',3)}, {r('any_value(a.y)',3)} FROM o_log c JOIN o_nodeseg s USING (node_id) JOIN o_lon a ON a.seg_id = s.seg_id AND a.side = 'left' AND a.pos = 'start' AND a.n = 1
+ JOIN o_lon b ON b.seg_id = s.seg_id AND b.side = 'right' AND b.pos = 'start' AND b.n = 1 WHERE c.edit_type = 'draw_crosswalk' GROUP BY s.seg_id
+ UNION ALL SELECT 'hull', node_id, NULL, NULL, NULL, NULL, {r('arg_max(x, edit_id) - 5',3)}, {r('arg_max(y, edit_id) - 5',3)} FROM o_log WHERE edit_type = 'edit_polygon_face' GROUP BY node_id""")
+def changeset_overrides(c: City):
+    """What the same log leaves for every later recomputation: ramps switched off or on, crosswalks and hulls drawn."""
+    o = edited(c).overrides
+    null = F.lit(None)
+    def row(df, kind, key, side=null, pos=null, n=null, enabled=null, p=None):
+        return df.select(F.lit(kind).alias("kind"), C(key).alias("id"), side.cast("string").alias("side"), pos.cast("string").alias("pos"), n.cast("int").alias("n"),
+                         enabled.cast("boolean").alias("enabled"), (p["x"] if p is not None else null).cast("double").alias("x"), (p["y"] if p is not None else null).cast("double").alias("y"))
+    out = row(o.ramps, "ramp", "seg_id", C("side"), C("pos"), C("n"), C("enabled")).unionByName(
+        row(o.crosswalks, "crosswalk", "seg_id", pos=C("pos"), p=C("line")[0])).unionByName(row(o.hulls, "hull", "node_id", p=C("ring")[0]))
+    return rounded(out, x=3, y=3)
