@@ -26,7 +26,7 @@ from kerbline.operators import edits as ED, facilities as FA
 from kerbline.plans.changes import apply_changeset
 from kerbline.plans.city import Network
 from kerbline.plans.overrides import TABLES as OVERRIDES, Overrides
-from kerbline.staging import stage
+from kerbline.staging import new_folder, stage
 
 TILE_M = 10_000.0
 BOX = ("min_x", "min_y", "max_x", "max_y")
@@ -222,7 +222,10 @@ class NetworkStore:
         version, last = self.head()
         if last is not None and batch <= last:
             return version
-        edits = stage(ED.edit_table(edits), "batch-edits")
+        # a stream hands its batches over in a session of its own
+        path = new_folder(self.spark, "batch-edits")
+        ED.edit_table(edits).write.parquet(path)
+        edits = self.spark.read.schema(", ".join(f"{c} {t}" for c, t in ED.EDIT_COLUMNS.items())).parquet(path)
         tiles = self.reach(edits, version)
         top = ED.max_drawn_id(self.table("segments", version)).first()["max_id"]
         while True:
