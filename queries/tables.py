@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from kerbline import schema
 from kerbline.functions import geom as G
@@ -61,6 +63,27 @@ def wkb_decode(c: City):
     return rounded(v, x=7, y=7)
 
 
+@query("wkb_kinds", f"""SELECT edge_id, kind, CAST(part AS INTEGER) AS part, CAST(i AS INTEGER) AS i, {r('lon',7)} AS x, {r('lat',7)} AS y FROM (
+SELECT edge_id, 'Point' AS kind, 0 AS part, 0 AS i, lon, lat FROM fx_vertices WHERE seq = 0
+UNION ALL SELECT edge_id, 'LineString', 0, seq, lon, lat FROM fx_vertices
+UNION ALL SELECT edge_id, 'MultiPoint', seq, 0, lon, lat FROM fx_vertices
+UNION ALL SELECT edge_id, 'MultiLineString', seq, 0, lon, lat FROM fx_vertices v WHERE seq < (SELECT max(seq) FROM fx_vertices w WHERE w.edge_id = v.edge_id)
+UNION ALL SELECT edge_id, 'MultiLineString', seq - 1, 1, lon, lat FROM fx_vertices WHERE seq > 0
+UNION ALL SELECT edge_id, 'Polygon', 0, seq, lon, lat FROM fx_vertices
+UNION ALL SELECT v.edge_id, 'Polygon', 0, m.n, lon, lat FROM fx_vertices v JOIN (SELECT edge_id, count(*) AS n FROM fx_vertices GROUP BY edge_id) m ON m.edge_id = v.edge_id WHERE seq = 0)""")
+def wkb_kinds(c: City):
+    """Every kind of geometry that the vertices of an edge make, written in both byte orders and read back."""
+    shapes = {"Point": F.slice("geom", 1, 1), "LineString": C("geom"), "MultiPoint": C("geom"),
+              "MultiLineString": F.transform(F.sequence(F.lit(1), F.size("geom") - 1), lambda i: F.slice("geom", i, F.lit(2))),
+              "Polygon": F.array(F.concat("geom", F.slice("geom", 1, 1)))}
+    written = [wkb.encode(c.lines.where(f"edge_id % 2 = {int(big)}").select("edge_id", shape.alias("s")), "s", "b", big, kind).select("edge_id", "b")
+               for kind, shape in shapes.items() for big in (False, True)]
+    d = wkb.decode(reduce(DataFrame.unionByName, written), "b", "g")
+    v = (d.select("edge_id", "g.kind", F.posexplode("g.parts").alias("part", "line"))
+         .select("edge_id", "kind", "part", F.posexplode("line").alias("i", "p")).select("edge_id", "kind", "part", "i", "p.x", "p.y"))
+    return rounded(v, x=7, y=7)
+
+
 def written_network(c: City) -> str:
     path = new_folder(c.spark, "network")
     tables.write_network(c.straight, N.grid_origin(c.nodes), path, "lattice")

@@ -102,3 +102,64 @@ def test_wkb_reads_all_kinds_and_rejects_garbage():
     lines = struct.pack("<BII", 1, 5, 1) + struct.pack("<BII", 1, 2, 2) + struct.pack("<4d", 0, 0, 1, 1)
     assert wkb.parse(lines)["kind"] == "MultiLineString"
     assert wkb.parse(b"\x01\x02") is None and wkb.parse(b"") is None and wkb.parse(struct.pack("<BI", 1, 3)) is None
+
+
+def _random_shapes(kind: str, seed: int) -> tuple[list, list]:
+    """(lists that ``encode_array`` takes, parts that decoding gives), nulls and empty ones among them."""
+    import random
+    rnd = random.Random(seed)
+
+    def line(n: int) -> list:
+        return [{"x": rnd.random(), "y": rnd.random()} for _ in range(n)]
+
+    rows, parts = [], []
+    for _ in range(120):
+        if rnd.random() < 0.1:
+            rows.append(None)
+        elif kind == "Point":
+            rows.append(line(1))
+        elif kind in ("Polygon", "MultiLineString"):
+            rows.append([line(rnd.randrange(5)) for _ in range(rnd.randrange(4))])
+        else:
+            rows.append(line(rnd.randrange(5)))
+        r = rows[-1]
+        parts.append(r if r is None or kind in ("Polygon", "MultiLineString") else [[p] for p in r] if kind == "MultiPoint" else [r])
+    return rows, parts
+
+
+@pytest.mark.parametrize("kind", list(wkb.CODES))
+@pytest.mark.parametrize("big", [False, True])
+def test_wkb_kinds_survive_a_round_trip_in_slices(kind, big):
+    import pyarrow as pa
+    line = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    rows, parts = _random_shapes(kind, 5)
+    given = pa.array(rows, pa.list_(line) if kind in ("Polygon", "MultiLineString") else line)
+    for lo, n in ((0, 120), (7, 80), (119, 1), (30, 0)):
+        made = wkb.encode_array(given.slice(lo, n), kind, big)
+        made.validate(full=True)
+        want = [None if p is None else {"kind": kind, "parts": p} for p in parts[lo:lo + n]]
+        assert wkb.decode_array(made).to_pylist() == want
+        longer = pa.array([None if v is None else v + b"tail" for v in made.to_pylist()], pa.binary())
+        assert wkb.decode_array(longer.slice(1)).to_pylist() == want[1:]
+
+
+@pytest.mark.parametrize("kind", list(wkb.CODES))
+def test_wkb_cut_off_anywhere_is_null_and_spares_its_neighbours(kind):
+    import pyarrow as pa
+    line = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    p = [{"x": 1.0, "y": 2.0}]
+    row = {"Point": p, "LineString": p * 2, "MultiPoint": p * 2, "Polygon": [p * 4, p * 4], "MultiLineString": [p * 2, p * 3]}[kind]
+    whole = wkb.encode_array(pa.array([row], pa.list_(line) if kind in ("Polygon", "MultiLineString") else line), kind)[0].as_py()
+    good = wkb.parse(whole)
+    mixed = [v for cut in range(len(whole)) for v in (whole[:cut], whole)]
+    assert wkb.decode_array(pa.array(mixed, pa.binary())).to_pylist() == [None, good] * len(whole)
+    huge = whole[:5] + b"\xff\xff\xff\xff" + whole[9:]
+    assert kind == "Point" or wkb.parse(huge) is None
+
+
+def test_wkb_point_needs_exactly_one_place():
+    import pyarrow as pa
+    line = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    p = [{"x": 1.0, "y": 2.0}]
+    made = wkb.encode_array(pa.array([p, [], p * 2, None, p], line), "Point")
+    assert [g and g["parts"] for g in wkb.decode_array(made).to_pylist()] == [[p], None, None, None, [p]]
