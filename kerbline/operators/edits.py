@@ -322,16 +322,28 @@ def nearest_hulls(keys: DataFrame, hulls: DataFrame, radius: float = 250.0) -> D
 
 
 def merge_gap(picks: DataFrame, hulls: DataFrame) -> DataFrame:
-    """(edit_id, max_gap, buffer_m) from the hulls picked by each consolidation edit (edit_id, node_id)."""
-    p = picks.distinct().join(hulls.select("node_id", F.concat("ring", F.slice("ring", 1, 1)).alias("ring")), "node_id")
-    a = G.pieces(p.select("edit_id", F.col("node_id").alias("a"), "ring"), "ring", ["edit_id", "a"]).drop("k", "m0", "m1")
-    b = G.pieces(p.select("edit_id", F.col("node_id").alias("b"), "ring"), "ring", ["edit_id", "b"]).drop("k", "m0", "m1")
-    for c in ("ax", "ay", "bx", "by"):
-        b = b.withColumnRenamed(c, "r" + c)
-    cols = ("ax", "ay", "bx", "by")
-    j = SP._segment_distance(a.join(b, "edit_id").where("a < b"), [F.col(c) for c in cols], [F.col("r" + c) for c in cols])
-    gaps = j.groupBy("edit_id", "a", "b").agg(F.min("d").alias("d"))
-    return gaps.groupBy("edit_id").agg(F.max("d").alias("max_gap")).withColumn("buffer_m", F.col("max_gap") / 2 + 0.5)
+    """(edit_id, max_gap, buffer_m) from the hulls picked by each consolidation edit (edit_id, node_id).
+
+    A ring holds its first corner and lies in a circle round it, which bounds the gap of two
+    hulls from both sides, whatever their shape.  Faces are measured only for pairs whose
+    upper bound reaches the greatest lower bound of their edit.
+    """
+    c = F.col
+    rings = hulls.where(F.size("ring") >= 1).select("node_id", "ring", G.first_pt(c("ring")).alias("_c"))
+    reach = F.array_max(F.transform("ring", lambda p: G.dist(p["x"], p["y"], c("_c.x"), c("_c.y"))))
+    p = picks.distinct().join(rings.withColumn("_r", reach), "node_id")
+    one, two = (p.select("edit_id", c("node_id").alias(n), c("_c").alias(f"c{n}"), c("_r").alias(f"r{n}")) for n in "ab")
+    apart = one.join(two, "edit_id").where("a < b").withColumn("_far", G.dist(c("ca.x"), c("ca.y"), c("cb.x"), c("cb.y")))
+    apart = stage(apart.select("edit_id", "a", "b", "_far", F.greatest(c("_far") - c("ra") - c("rb"), F.lit(0.0)).alias("_least")), "hull-pairs")
+    best = apart.groupBy("edit_id").agg((F.max("_least") - 1e-6).alias("_best"))
+    pairs = apart.join(best, "edit_id").where("_far >= _best").select("edit_id", "a", "b")
+
+    faces = G.pieces(hulls.select("node_id", F.concat("ring", F.slice("ring", 1, 1)).alias("ring")), "ring", ["node_id"])
+    ends = ("ax", "ay", "bx", "by")
+    j = (pairs.join(faces.select(c("node_id").alias("a"), *ends), "a")
+         .join(faces.select(c("node_id").alias("b"), *[c(e).alias("r" + e) for e in ends]), "b"))
+    gaps = SP._segment_distance(j, [c(e) for e in ends], [c("r" + e) for e in ends]).groupBy("edit_id", "a", "b").agg(F.min("d").alias("d"))
+    return gaps.groupBy("edit_id").agg(F.max("d").alias("max_gap")).withColumn("buffer_m", c("max_gap") / 2 + 0.5)
 
 
 def consolidate_links(picks: DataFrame) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window as W, functions as F
 
 from kerbline.config import Params
 from kerbline.functions import crs, geom as G, tags
 from kerbline.operators import calming as CA, elevation as EL, facilities as FA, network as N, spatial as SP
+from kerbline.staging import stage
 from queries.geometry import probes
 from queries.registry import City, query, rounded
-from queries.sqltext import axis_diff, bearing, cross, dist, haversine, meets, part, pseg, r, segseg, tparam
+from queries.sqltext import PARTS, axis_diff, bearing, cross, dist, haversine, meets, part, pseg, r, segseg, tparam
 
 C = F.col
 
@@ -240,6 +243,20 @@ def match_orphans(c: City):
     return FA.match_leftovers(c.facs, c.roads, c.placed, FA.taken_slots(c.offset_rows)).select("fac_id", "kind", "seg_id", "side", "slot")
 
 
+# the second round where the first has placed sidewalks only: every bikeway is left over
+part("o_walk1", "SELECT * FROM o_slot1 WHERE kind = 'sidewalk'")
+for _name in ("o_rows1", "o_offset", "o_match2", "o_match2s", "o_free", "o_slot2"):
+    part(f"{_name}w", re.sub(r"\b(o_rows1|o_offset|o_match2|o_match2s|o_free)\b", r"\1w", PARTS[_name]).replace("o_slot1", "o_walk1"))
+
+
+@query("match_late_bikeways", "SELECT fac_id, kind, seg_id, side, slot FROM o_slot2w")
+def match_late_bikeways(c: City):
+    """Bikeways mapped after the sidewalks were placed: all of them go through the second round."""
+    placed = c.placed.where("kind = 'sidewalk'")
+    rows = stage(FA.add_offsets(FA.place(FA.empty_slots(c.tag_rows), placed, c.facs), c.straight), "walk-offsets")
+    return FA.match_leftovers(c.facs, c.roads, placed, FA.taken_slots(rows)).select("fac_id", "kind", "seg_id", "side", "slot")
+
+
 part("o_rows2", """SELECT *, CASE WHEN facility = 'sidewalk' THEN l ELSE l || CAST(slot AS VARCHAR) END AS suffix, NOT coalesce(lower(trim(presence)) IN ('no','none'), false) AS own FROM (SELECT o.seg_id, o.facility, o.side, o.slot, coalesce(o.presence, CASE WHEN s.fac_id IS NOT NULL AND o.facility = 'sidewalk' THEN 'separate' END) AS presence, CASE o.side WHEN 'left' THEN 'L' ELSE 'R' END AS l
  FROM o_offset o LEFT JOIN o_slot2 s ON s.seg_id = o.seg_id AND s.kind = o.facility AND s.side = o.side AND s.slot = o.slot)""")
 part("o_ids", "SELECT r.seg_id, facility, side, slot, CASE WHEN own THEN grid_id || suffix END AS facility_id, CASE WHEN bool_or(own) OVER (PARTITION BY r.seg_id, side, facility) THEN grid_id || suffix END AS facility_grid_id FROM o_rows2 r JOIN o_straight s USING (seg_id)")

@@ -99,3 +99,43 @@ def test_merges_of_a_chain_leave_one_line(spark):
     got = ED.merge_all(seg, spark.createDataFrame([(n,) for n in (101, 102, 103, 104, 999)], "node_id long")).collect()
     assert len(got) == 1 and got[0]["seg_id"] == 0 and {got[0]["start_node"], got[0]["end_node"]} == {100, 105}
     assert sorted(p["x"] for p in got[0]["utm"]) == [0, 10, 20, 30, 40, 50]
+
+
+def test_angular_pairs_of_a_crowded_node_are_those_of_one_window(spark):
+    """100 000 ends round one node, many in one direction, beside small nodes."""
+    from kerbline.operators import snap
+    n = 100_000
+    arms = spark.range(n + 7).selectExpr(
+        f"CASE WHEN id < {n} THEN 1 ELSE id - {n} + 2 END AS node_id", "0.0D AS nx", "0.0D AS ny", "id AS seg_id",
+        "CASE WHEN id % 2 = 0 THEN 'left' ELSE 'right' END AS side", "'start' AS pos", "'s' AS name",
+        "round(sin(id % 5000 * 0.00125), 9) AS px", "round(cos(id % 5000 * 0.00125), 9) AS py", "1.0D AS dx", "0.0D AS dy", "lpad(string(id), 20, '0') AS arm")
+    cols = ["node_id", "seg_id", "b.seg_id AS next", "pair"]
+    cut = snap.angular_pairs(arms).selectExpr(*cols)
+    whole = snap.angular_pairs(arms, crowded=n * 2).selectExpr(*cols)
+    assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+    assert cut.where("node_id = 1").count() == n and cut.where("node_id > 1").isEmpty()  # a lone end has no neighbour
+
+
+def test_max_gap_measures_faces_of_few_pairs_and_agrees_with_all(spark):
+    import itertools
+    import math
+    import random
+
+    from kerbline.operators import edits as ED
+    rnd = random.Random(4)
+    rings = {}
+    for i in range(40):
+        x, y, w, h = rnd.uniform(0, 900), rnd.uniform(0, 900), rnd.uniform(2, 60), rnd.uniform(2, 60)
+        rings[i] = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    hulls = spark.createDataFrame([(i, [{"x": x, "y": y} for x, y in ring]) for i, ring in rings.items()], "node_id long, ring array<struct<x:double,y:double>>")
+    picks = spark.createDataFrame([(1, i) for i in range(40)] + [(2, i) for i in range(3)] + [(2, 1), (3, 5)], "edit_id long, node_id long")
+
+    def gap(a: list, b: list) -> float:
+        dx = max(a[0][0] - b[1][0], b[0][0] - a[1][0], 0.0)
+        dy = max(a[0][1] - b[2][1], b[0][1] - a[2][1], 0.0)
+        return math.hypot(dx, dy)
+
+    got = {r["edit_id"]: r["max_gap"] for r in ED.merge_gap(picks, hulls).collect()}
+    want = {e: max(gap(rings[a], rings[b]) for a, b in itertools.combinations(range(n), 2)) for e, n in ((1, 40), (2, 3))}
+    assert set(got) == {1, 2}  # one hull alone has no gap
+    assert all(abs(got[e] - want[e]) < 1e-6 for e in want)
