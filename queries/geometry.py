@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbline.functions import crs, geom as G
 from kerbline.operators import network as N
 from queries.registry import City, query, rounded
-from queries.sqltext import axis_diff, bearing, cross, dist, haversine, part, pseg, r, tparam, utm
+from queries.sqltext import axis_diff, bearing, cross, dist, haversine, not_parallel, part, pseg, r, tparam, utm
 
 C = F.col
 
@@ -162,7 +162,7 @@ SELECT a.edge_id AS a_id, b.edge_id AS b_id, a.x0 - (a.y1-a.y0)/a.len*5 AS pax,
  b.x0 + (b.y1-b.y0)/b.len*5 AS pbx, b.y0 - (b.x1-b.x0)/b.len*5 AS pby, (b.x0-b.x1) AS dbx, (b.y0-b.y1) AS dby
 FROM o_chord_u a JOIN o_chord_u b ON a.u = b.u WHERE a.edge_id <> b.edge_id)""")
     return f"""SELECT a_id, b_id, {r('ix',2)} AS x, {r('iy',2)} AS y FROM (SELECT *, pax+t*dax AS ix, pay+t*day AS iy FROM o_pair_rays)
-WHERE abs(det) >= 1e-10 AND t >= 0 AND {dist('pax','pay','ix','iy')} <= 30 AND {dist('pbx','pby','ix','iy')} <= 30"""
+WHERE {not_parallel('dax','day','dbx','dby')} AND t >= 0 AND {dist('pax','pay','ix','iy')} <= 30 AND {dist('pbx','pby','ix','iy')} <= 30"""
 
 
 part("o_chord_u", "SELECT c.*, e.u FROM o_chord c JOIN fx_edges e USING (edge_id)")
