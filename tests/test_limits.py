@@ -30,6 +30,19 @@ def test_flat_points_make_a_thin_hull_at_any_count(spark, n):
     assert len(ring) == 4 and min(xs) < 0 and max(xs) > (n - 1) * 0.01
 
 
+def test_sql_of_flat_points_states_a_thin_hull(spark):
+    import duckdb
+
+    import queries
+    queries.all_queries()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE o_hpts AS SELECT CAST(n AS BIGINT) AS node_id, CAST(i AS DOUBLE) * (2 - n) AS x, CAST(i * 2 AS DOUBLE) AS y "
+                "FROM range(1, 3) a(n) CROSS JOIN range(4) b(i)")
+    for name in ("o_hcount", "o_hside", "o_hedge", "o_thin0"):
+        con.execute(f"CREATE VIEW {name} AS {sqltext._quoted(sqltext.PARTS[name])}")
+    assert con.execute('SELECT * FROM o_thin0 ORDER BY 1').fetchall() == [(1, 0, 0, 3, 6), (2, 0, 0, 0, 6)]
+
+
 def test_components_of_a_long_path_in_random_order(spark):
     ids = [(i * 7919) % 1009 for i in range(80)]
     pairs = spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long")
