@@ -233,3 +233,23 @@ def test_sources_come_near_their_targets(spark):
     assert all(abs(total[s] - target[s]) <= 0.03 * target[s] for s in target)
     copies = mixing.mixed_documents(Q.table(spark, SF, "documents")).groupBy("doc_id").agg(F.count("*").alias("n")).collect()
     assert {r["doc_id"]: r["n"] for r in copies} == {r["doc_id"]: r["taken"] // r["size"] for r in rows if r["taken"]}
+
+
+def test_a_text_changed_too_much_is_told_from_a_large_group_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(220)]
+
+    def changed(i, n):  # n words in a row are new, so n + 3 shingles are this text's alone
+        at = int(rng.integers(4, 210 - n))
+        return " ".join([*base[:at], *[f"n{i}x{k}" for k in range(n)], *base[at + n:]])
+
+    texts = [changed(i, 4) for i in range(40)] + [changed(i, 25) for i in range(40, 80)]
+    rows = {}
+    kept = M.stage
+    monkeypatch.setattr(M, "stage", lambda df, name, *a: rows.setdefault(name, kept(df, name, *a)) if name == "cross" else kept(df, name, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in M.near_duplicates(docs, M.Likeness(4, 80)).collect()}
+    sets = [shingles(t, 4) for t in texts]
+    assert not any(jaccard(sets[i], sets[j]) >= 0.8 for i in range(40, 80) for j in range(80) if i != j)
+    assert got == {i: 0 if i < 40 else i for i in range(80)}
+    assert rows["cross"].count() == 0
