@@ -38,3 +38,11 @@ def test_roads_far_off_are_found_in_the_wide_pass(spark):
     lines = roads(spark, 3).withColumnRenamed("l_id", "seg_id")
     got = {r["locid"]: round(r["d"], 6) for r in RP.nearest_roads(inv, lines).collect()}
     assert got == {0: 3.0, 1: round((275 ** 2 + 3 ** 2) ** 0.5, 6), 2: 3.0}
+
+
+def test_streets_as_geojson_build_no_crosswalks(spark):
+    from queries import viewing
+    from queries.registry import City
+    c = City(spark, "/root/testdata/sf0.001")
+    assert viewing.features_geojson(c).count() > 0
+    assert not {"crosswalks", "detected", "ramps", "zones", "calming"} & set(c.__dict__)
