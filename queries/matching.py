@@ -188,6 +188,7 @@ def detect_coincident(c: City):
     traced = (c.straight.where("edge_id % 5 = 0").select(C("edge_id").alias("fac_id"), F.lit("sidewalk").alias("kind"), "name",
               F.lit(None).cast("string").alias("surface"), "bearing", "utm")
               .select("fac_id", "kind", "name", "surface", C("bearing").alias("fac_bearing"), G.offset(C("utm"), F.lit(0.5)).alias("utm")))
+    traced = stage(traced, "traced")  # read three times below
     return rounded(FA.coincident(FA.candidates(traced, c.roads), c.roads, traced), share=4)
 
 
