@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kerbline.functions import geom as G
-from kerbline.operators import ramps as RP, spatial as SP
+from kerbline.operators import intersections as IX, ramps as RP, spatial as SP
 
 
 def plan(df) -> str:
@@ -19,6 +19,12 @@ def points(spark, n: int):
     return spark.range(n).select(F.col("id").alias("p_id"), F.lit(25.0).alias("px"), (F.col("id") * 100.0 + 3).alias("py"))
 
 
+def test_hull_plan_holds_each_ring_a_few_times(spark):
+    pts = spark.range(50).select(F.col("id").alias("node_id"), F.col("id").cast("double").alias("sx"), F.lit(0.0).alias("sy"),
+                                 F.col("id").cast("double").alias("nx"), F.lit(0.0).alias("ny"), F.lit(2).alias("n_ramps"))
+    assert len(plan(IX.build_hulls(pts))) < 100_000
+
+
 def test_lines_on_cells_are_not_broadcast(spark):
     near = SP.nearest_line(points(spark, 20), roads(spark, 20), 10.0)
     pairs = SP.lines_near_lines(roads(spark, 20).withColumnRenamed("l_id", "a_id"), roads(spark, 20).withColumnRenamed("l_id", "b_id"), 5.0)
