@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from kerbline import staging
 from kerbline.functions import geom as G
-from kerbline.operators import intersections as IX, ramps as RP, spatial as SP
+from kerbline.operators import crosswalks as XW, edits as ED, intersections as IX, ramps as RP, spatial as SP
 
 
 def plan(df) -> str:
@@ -52,3 +53,39 @@ def test_streets_as_geojson_build_no_crosswalks(spark):
     c = City(spark, "/root/testdata/sf0.001")
     assert viewing.features_geojson(c).count() > 0
     assert not {"crosswalks", "detected", "ramps", "zones", "calming"} & set(c.__dict__)
+
+
+def merged(spark, monkeypatch, *asked):
+    """(seg_id: its nodes, rounds) after the named merges on a chain of three streets."""
+    rounds, stage = [], staging.stage
+    def counted(df, name, *args):
+        rounds.extend([name] if name == "merged-segments" else [])
+        return stage(df, name, *args)
+    monkeypatch.setattr(staging, "stage", counted)
+    monkeypatch.setattr(ED, "stage", counted)
+    x = F.col("id") * 10.0
+    line = G.line_of(x, F.lit(0.0), x + 10, F.lit(0.0))
+    chain = spark.range(1, 4).select(F.col("id").alias("seg_id"), (F.col("id") + 9).alias("start_node"), (F.col("id") + 10).alias("end_node"),
+                                     F.lit(True).alias("start_is_intersection"), F.lit(True).alias("end_is_intersection"), line.alias("utm"), line.alias("geom"))
+    rows = [(i, *a) for i, a in enumerate(asked)]
+    out = ED.merge_named(chain, spark.createDataFrame(rows, "edit_id long, seg_id long, consumed_id long, node_id long")).collect()
+    return {r["seg_id"]: (r["start_node"], r["end_node"], len(r["utm"])) for r in out}, len(rounds)
+
+
+def test_merges_asked_for_again_add_no_rounds(spark, monkeypatch):
+    one, two = (1, 2, 11), (1, 3, 12)
+    assert merged(spark, monkeypatch, one, one, one, two, one, two) == ({1: (10, 13, 4)}, 2)
+
+
+def test_a_merge_that_fits_only_later_is_done_when_asked_for_again(spark, monkeypatch):
+    one, two = (1, 2, 11), (1, 3, 12)
+    assert merged(spark, monkeypatch, two, two, one, two)[0] == {1: (10, 13, 4)}
+
+
+def test_farthest_pair_plan_holds_each_hull_a_few_times(spark):
+    x = F.col("id").cast("double")
+    pts = spark.range(40).select((F.col("id") % 5).alias("hull_id"), F.lit(0).alias("face"), x.alias("x"), (x * x).alias("y"))
+    far = XW.farthest_pairs(pts, "x", "y")
+    assert len(plan(far)) < 20_000
+    assert {r["hull_id"]: [p["x"] for p in r["pair"]] for r in far.collect()} == {i: [float(i), float(35 + i)] for i in range(5)}
+    assert XW.farthest_pairs(pts.where("id < 5"), "x", "y").isEmpty()  # one point has no partner
