@@ -89,3 +89,12 @@ def test_farthest_pair_plan_holds_each_hull_a_few_times(spark):
     assert len(plan(far)) < 20_000
     assert {r["hull_id"]: [p["x"] for p in r["pair"]] for r in far.collect()} == {i: [float(i), float(35 + i)] for i in range(5)}
     assert XW.farthest_pairs(pts.where("id < 5"), "x", "y").isEmpty()  # one point has no partner
+
+
+def test_crossing_plan_holds_each_point_a_few_times(spark):
+    x, zero = F.col("id").cast("double"), F.lit(0.0)
+    arms = spark.range(20).select(
+        (F.col("id") % 5).alias("node_id"), zero.alias("nx"), zero.alias("ny"), F.col("id").alias("seg_id"), F.lit("left").alias("side"), F.lit("start").alias("pos"),
+        F.lit("g").alias("grid_id"), F.col("id").cast("string").alias("arm"), G.line_of(-x, zero - 5.0, x + 1.0, zero + 5.0).alias("utm"))
+    pairs = IX.pair_crossings(arms)
+    assert len(plan(pairs)) < 14_000 and pairs.count() == 30
