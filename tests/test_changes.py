@@ -200,3 +200,19 @@ def test_documents_of_every_list_become_edits(spark, tmp_path):
     assert len(by["edit_polygon_face"][0]["utm"]) == 3 and len(by["draw_segment"][0]["utm"]) == 2
     assert by["consolidate_hulls"][0]["edit_id"] == by["consolidate_hulls"][1]["edit_id"] and round(by["consolidate_hulls"][0]["x"]) == 544077
     assert all(r["user_id"] == 0 for r in got) and by["add_point"][1]["edit_id"] > max(r["edit_id"] for r in got[:-1])
+
+
+def test_vertices_at_the_ends_of_changed_streets_are_not_counted_again(spark):
+    from types import SimpleNamespace
+
+    from queries.editing import changeset_segments
+    cut = ED.SPLIT_NODES - 5
+    streets = [(1, 10, 11, line((0, 0), (0, 0), (9, 0))),   # merged with a street of no length
+               (2, 10, 11, line((0, 0), (4, 0), (9, 0))),
+               (3, 10, 10, line((5, 5), (5, 5), (5, 5))),
+               (4, 10, 11, line((0, 0), (9, 0), (9, 0))),   # counts as long as the street is not cut
+               (5, 10, cut, line((0, 0), (4, 0), (9, 0), (9, 0)))]
+    rows = [(i, a, b, False, False, "n", utm) for i, a, b, utm in streets]
+    seg = spark.createDataFrame(rows, f"seg_id long, start_node long, end_node long, start_is_intersection boolean, end_is_intersection boolean, name string, utm {LINE}")
+    got = changeset_segments(SimpleNamespace(_edited=SimpleNamespace(segments=seg)))
+    assert {r["seg_id"]: r["n_vertices"] for r in got.collect()} == {1: 2, 2: 3, 3: 2, 4: 3, 5: 3}
