@@ -169,3 +169,11 @@ def test_a_changeset_of_many_kinds(city):
     assert done.ramps.where(" AND ".join(f"{k} = '{v}'" for k, v in key.items())).isEmpty()
     one = {r["hull_id"] for r in done.members.where(F.col("node_id").isin(*hulls)).collect()}
     assert len(one) == 1 and done.members.where(F.col("node_id") == gone).isEmpty()
+
+
+def test_geojson_of_the_network_has_every_kind_of_feature(city):
+    from queries.viewing import features_geojson
+    kind = F.get_json_object("value", "$.properties._t")
+    got = {r["t"]: r["n"] for r in features_geojson(city).groupBy(kind.alias("t")).agg(F.count("*").alias("n")).collect()}
+    assert set(got) == {"street", "bikeway", "sidewalk", "crosswalk", "calm", "node", "ramp"}
+    assert got["street"] == city.straight.count() and got["ramp"] == city.ramps.count() and got["crosswalk"] == city.crosswalks.count()
