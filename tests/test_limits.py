@@ -152,3 +152,18 @@ def test_max_gap_measures_faces_of_few_pairs_and_agrees_with_all(spark):
     want = {e: max(gap(rings[a], rings[b]) for a, b in itertools.combinations(range(n), 2)) for e, n in ((1, 40), (2, 3))}
     assert set(got) == {1, 2}  # one hull alone has no gap
     assert all(abs(got[e] - want[e]) < 1e-6 for e in want)
+
+
+def test_sidewalks_that_go_straight_on_meet_where_they_touch(spark):
+    from kerbline.operators import intersections as IX
+    line = "array<struct<x:double,y:double>>"
+    def met(*lines):
+        rows = [(1, 100.0, 0.0, i, "left", pos, "g", str(i), [{"x": float(x), "y": float(y)} for x, y in utm]) for i, (pos, utm) in enumerate(lines)]
+        arms = spark.createDataFrame(rows, f"node_id long, nx double, ny double, seg_id long, side string, pos string, grid_id string, arm string, utm {line}")
+        return [(round(r["x"], 3), round(r["y"], 3)) for r in IX.pair_crossings(arms).collect()]
+    for gap in (-1e-6, 0.0, 1e-6):  # overlapping, touching and apart by rounding alone, both ways round
+        assert met(("end", ((0, 5), (100, 5))), ("start", ((100 + gap, 5 + 1e-7), (200, 5)))) == [(100, 5)]
+        assert met(("start", ((100 + gap, 5), (0, 5))), ("start", ((100, 5), (200, 5 + 1e-5)))) == [(100, 5)]
+    assert met(("end", ((0, 5), (100, 5))), ("start", ((100, 5), (0, 5)))) == []  # along each other
+    assert met(("end", ((0, 5), (100, 5))), ("start", ((100.1, 5), (200, 5)))) == []
+    assert met(("end", ((0, 0), (110, 10))), ("start", ((90, 10), (200, 0)))) == [(100, 9.091)]
